@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from labelloom.catalog import evaluation, generation, model_responses, preparation
+from labelloom.catalog import encoding, evaluation, feed, generation, model_responses, preparation, scoring, storage
 from labelloom.catalog.base import Registry
 
 REGISTRY = Registry()
-for module in (preparation, evaluation, generation, model_responses):
+for module in (preparation, evaluation, generation, model_responses, encoding, scoring, feed, storage):
     for name, item in module.registry.items():
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
