@@ -47,15 +47,13 @@ def src_csv(spark, sf_dir):
 
 @registry.add("src_json_document", ALL_ROWS)
 def src_json_document(spark, sf_dir):
-    """Array documents holding one record each per line group of the table."""
+    """The table as many array documents of at most 1,000 records, one per file."""
     path = fresh_path(spark, "raw") + "/rows.json"
-    record = F.to_json(F.struct(*[f.name for f in ROWS.fields]))
-    documents = raw_rows(spark, sf_dir).select(F.concat(F.lit("["), record, F.lit("]")).alias("value"))
-    # A file must be one document, so each row of a partition would be its own file; one document per line is read
-    # through the same parser instead.
-    documents.write.text(path)
-    parsed = spark.read.text(path).select(F.from_json("value", T.ArrayType(ROWS)).alias("r"))
-    return parsed.select(F.inline("r"))
+    records = raw_rows(spark, sf_dir).groupBy(F.expr("row_id div 1000").alias("chunk")).agg(
+        F.to_json(F.collect_list(F.struct(*[f.name for f in ROWS.fields]))).alias("value")
+    )
+    records.write.partitionBy("chunk").text(path)
+    return IN.load_raw(spark, path, ROWS)
 
 
 @registry.add("src_named_table", ALL_ROWS)

@@ -89,7 +89,13 @@ REQUEST_WRAPPER = "<s>[INST] {prompt} [/INST]"
 WORD_CLASS = r"[\p{L}\p{N}_]"
 TRANSLATION_MARKER = r"\[[A-Z]{2,}_(?:UNTRANSLATED|NO_TRANSLATE_CLIENT|FAILED_" + WORD_CLASS + r"+|ERROR)\]"
 BRACKETED_MARKER = r"\[[A-Z_]+\]"
-WHITESPACE_CLASS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters that count as whitespace, as a string and as a character class.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# `[^!-~]&&` first rules out printable ASCII, so most characters cost one range test.
+WHITESPACE_CLASS = r"[[^!-~]&&[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 PROMPT_PREFIX = "Classify the following job description. Job Description: "
 
 # --- fixed values: split, encoding and scoring ---

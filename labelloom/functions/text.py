@@ -10,19 +10,23 @@ from labelloom.functions import fixed_values as V
 
 def strip(text: Column) -> Column:
     """Trim Unicode whitespace at both ends."""
-    ws = V.WHITESPACE_CLASS
-    return F.regexp_replace(text, rf"\A{ws}+|{ws}+\z", "")
+    return F.btrim(text, F.lit(V.WHITESPACE))
 
 
 def squeeze(text: Column) -> Column:
-    """Every whitespace run becomes one blank; none at the ends."""
-    return F.trim(F.regexp_replace(text, f"{V.WHITESPACE_CLASS}+", " "))
+    """Every whitespace run becomes one blank; none at the ends.
+
+    The pattern passes over single blanks, which need no change.
+    """
+    ws = V.WHITESPACE_CLASS
+    return F.trim(F.regexp_replace(text, f"{ws}(?:{ws}+|(?<=[^ ]))", " "))
 
 
 def clean_text(text: Column) -> Column:
     """Drop bracketed markers and squeeze whitespace; null becomes the text `None`."""
     unmarked = F.regexp_replace(text, V.TRANSLATION_MARKER, "")
     unmarked = F.regexp_replace(unmarked, V.BRACKETED_MARKER, "")
+    unmarked = F.when(F.contains(text, F.lit("[")), unmarked).otherwise(text)
     return F.coalesce(squeeze(unmarked), F.lit("None"))
 
 

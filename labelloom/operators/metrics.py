@@ -12,19 +12,20 @@ from labelloom.functions import fixed_values as V
 def extract_log_metrics(lines: DataFrame, col: str, patterns: dict[str, str] | None = None) -> DataFrame:
     """One row per regex hit: the other columns, `metric`, `pos` and `value`."""
     patterns = V.LOG_PATTERNS if patterns is None else patterns
-    hits = [
-        F.transform(
-            F.regexp_extract_all(F.col(col), F.lit(regex), F.lit(1)),
-            lambda text, i, name=name: F.struct(
-                F.lit(name).alias("metric"),
-                i.cast("bigint").alias("pos"),
-                text.try_cast("double").alias("value"),
-            ),
-        )
-        for name, regex in patterns.items()
-    ]
+    hits = F.concat(*[_hits(F.col(col), name, regex) for name, regex in patterns.items()])
     others = [c for c in lines.columns if c != col]
-    return lines.select(*others, F.inline(F.concat(*hits)))
+    return lines.select(*others, F.inline(hits))
+
+
+def _hits(line: Column, name: str, regex: str) -> Column:
+    def entry(text: Column, i: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("metric"),
+            i.cast("bigint").alias("pos"),
+            text.try_cast("double").alias("value"),
+        )
+
+    return F.transform(F.regexp_extract_all(line, F.lit(regex), F.lit(1)), entry)
 
 
 def _numeric(logs: Column) -> Column:

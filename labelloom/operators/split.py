@@ -41,22 +41,21 @@ def class_quotas(counts: DataFrame, label: str, test: float, val: float) -> Data
 def _allot(classes: DataFrame, label: str, size: str, held_out: float, name: str) -> DataFrame:
     # One row per class: these windows see the label table, never the data.
     every = Window.partitionBy()
-    wide = "decimal(38,0)"
     total = F.sum(size).over(every)
     keep = (total - F.ceil(F.lit(float(held_out)) * total)).cast("bigint")
-    sized = classes.withColumn("_total", total).withColumn("_keep", keep)
-    product = F.col(size).cast("decimal(19,0)") * F.col("_keep").cast("decimal(19,0)")
-    shared = sized.withColumn("_product", product.cast(wide))
-    base = F.expr("cast(if(_total > 0, _product div _total, 0) as bigint)")
-    rest = F.expr("cast(if(_total > 0, _product % _total, 0) as bigint)")
-    ranked = shared.withColumn("_base", base).withColumn("_rest", rest)
-    order = Window.partitionBy().orderBy(F.col("_rest").desc(), F.col(label))
+    product = f"(cast({size} as decimal(19,0)) * cast(_keep as decimal(19,0)))"
+    by_remainder = Window.partitionBy().orderBy(F.col("_rest").desc(), F.col(label))
     seats = F.col("_keep") - F.sum("_base").over(every)
+    extra = F.row_number().over(by_remainder) <= seats
     return (
-        ranked.withColumn("_seats", seats)
-        .withColumn("_place", F.row_number().over(order))
-        .withColumn(name, F.col("_base") + (F.col("_place") <= F.col("_seats")).cast("bigint"))
-        .drop("_total", "_keep", "_product", "_base", "_rest", "_seats", "_place")
+        classes.withColumns({"_total": total, "_keep": keep})
+        .withColumns(
+            {
+                "_base": F.expr(f"cast({product} div _total as bigint)"),
+                "_rest": F.expr(f"cast({product} % _total as bigint)"),
+            }
+        )
+        .select(*classes.columns, (F.col("_base") + extra.cast("bigint")).alias(name))
     )
 
 
@@ -77,31 +76,16 @@ def split_rows(
     """
     unit = group_key or key
     stratum = F.col(label).cast("string") if stratify else F.lit("all")
-    tagged = (
-        df.withColumn("_stratum", stratum)
-        .withColumn("_digest", digest(unit, SALT, seed))
-        .withColumn("_tie", F.col(unit))
-    )
+    tagged = df.withColumns({"_stratum": stratum, "_digest": digest(unit, SALT, seed), "_tie": F.col(unit)})
     units = tagged.select("_stratum", "_digest", "_tie")
     if group_key:
         units = settle(units.distinct(), "split-groups").df
     histogram = group_histogram(units, ["_stratum"])
     counts = histogram.df.groupBy("_stratum").agg(F.sum("_n").alias("_n"))
     quotas = class_quotas(counts, "_stratum", test, val)
-    ranks = F.array(
-        F.struct(F.lit("test").alias("_cut"), F.col("n_test").alias("_rank")),
-        F.struct(F.lit("validation").alias("_cut"), (F.col("n_test") + F.col("n_validation")).alias("_rank")),
-    )
-    wanted = quotas.select("_stratum", F.inline(ranks))
-    cuts = permutation_cuts(units, ["_stratum"], histogram, wanted)
-    wide = cuts.groupBy("_stratum").agg(
-        *[
-            F.max(F.when(F.col("_cut") == cut, F.col(source))).alias(f"_{cut}{source}")
-            for cut in ("test", "validation")
-            for source in ("_digest", "_tie")
-        ]
-    )
-    joined = lookup_join(tagged, settle(wide, "split-cuts"), ["_stratum"], [unit], null_safe=True)
+    ranks = {"test": F.col("n_test"), "validation": F.col("n_test") + F.col("n_validation")}
+    cuts = permutation_cuts(units, ["_stratum"], histogram, quotas, ranks)
+    joined = lookup_join(tagged, cuts, ["_stratum"], [unit], null_safe=True)
     part = (
         F.when(at_or_before("_digest", "_tie", "_test_digest", "_test_tie"), "test")
         .when(at_or_before("_digest", "_tie", "_validation_digest", "_validation_tie"), "validation")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.hashing import digest
-from labelloom.plans.joins import lookup_join
+from labelloom.plans.joins import fits_broadcast, lookup_join
 from labelloom.plans.shared import Settled, settle
 
 HISTOGRAM_DIGITS = 3
@@ -35,7 +35,8 @@ def number_rows(df: DataFrame, order: list[Column | str] | None = None, name: st
         "_file",
         F.coalesce(F.sum(F.col("_last") + 1).over(by_file), F.lit(0)).alias("_before"),
     )
-    numbered = lookup_join(placed, settle(offsets, "offsets"), ["_file"], ["_file", "_at"])
+    # One row per sort partition, so the broadcast is bounded by the partition count.
+    numbered = placed.join(F.broadcast(offsets), "_file")
     return numbered.select(
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("_before") + F.col("_at") + 1).cast("bigint").alias(name),
@@ -75,44 +76,57 @@ def permutation_cuts(
     units: DataFrame,
     by: list[str],
     histogram: Settled,
-    wanted: DataFrame,
+    groups: DataFrame,
+    ranks: dict[str, Column],
     digits: int = HISTOGRAM_DIGITS,
-) -> DataFrame:
-    """Exact (`_digest`, `_tie`) of the rank-th unit of each group in digest order.
+) -> Settled:
+    """Exact digest and tie of wanted ranks in each group's digest order.
 
-    `wanted` holds the group columns, `_cut` (a name) and `_rank`. The histogram
-    tells which bucket holds the rank; only that bucket (1/16^digits of the group)
-    is sorted.
+    `ranks` names cuts and gives their rank from the columns of `groups` (one row
+    per group). The histogram tells which bucket holds a rank, so only that bucket
+    (1/16^digits of the group) is sorted. The result has `_{cut}_digest` and
+    `_{cut}_tie` per group, null where the rank is 0 or beyond the group.
     """
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cumulative = histogram.df.withColumn("_upto", F.sum("_n").over(running))
-    wanted_keys = {c: f"_wanted_{c}" for c in by}
-    wanted = wanted.withColumnsRenamed(wanted_keys)
+    group_keys = {c: f"_group_{c}" for c in by}
+    rank_columns = {f"_rank_{cut}": rank.cast("bigint") for cut, rank in ranks.items()}
+    groups = groups.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in group_keys.items()], *[r.alias(n) for n, r in rank_columns.items()]
+    )
     same_group = reduce(
-        lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`{k}`")) for c, k in wanted_keys.items()]
+        lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`{k}`")) for c, k in group_keys.items()]
     )
-    holders = (
-        cumulative.join(wanted, same_group)
-        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
-        .groupBy(*by, "_bucket")
-        .agg(
-            F.collect_list(
-                F.struct("_cut", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_need"))
-            ).alias("_cuts")
+    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.sum("_n").over(running) - F.col("_n")
+    inside = {
+        f"_need_{cut}": F.when(
+            (F.col(f"_rank_{cut}") > F.col("_before")) & (F.col(f"_rank_{cut}") <= F.col("_before") + F.col("_n")),
+            F.col(f"_rank_{cut}") - F.col("_before"),
         )
+        for cut in ranks
+    }
+    holders = (
+        histogram.df.withColumn("_before", before)
+        .join(groups, same_group)
+        .select(*by, "_bucket", *[n.alias(c) for c, n in inside.items()])
+        .filter(F.coalesce(*inside).isNotNull())
     )
+    # The buckets that hold a cut are some of the histogram's rows, so its size bounds theirs.
+    bounded = Settled(holders, histogram.rows, histogram.nbytes + 8 * len(ranks) * histogram.rows)
+    held = bounded if fits_broadcast(bounded) else settle(holders, "cut-buckets")
     bucketed = units.select(*by, "_digest", "_tie", F.substring("_digest", 1, digits).alias("_bucket"))
-    inside = lookup_join(
-        bucketed, settle(holders, "cut-buckets"), [*by, "_bucket"], ["_digest", "_tie"], how="inner", null_safe=True
+    candidates = lookup_join(
+        bucketed, held, [*by, "_bucket"], ["_digest", "_tie"], how="inner", null_safe=True
     )
-    placed = inside.withColumn(
-        "_at",
-        F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_digest", "_tie")),
-    )
-    hit = F.filter("_cuts", lambda c: c["_need"] == F.col("_at"))
-    return placed.select(*by, "_digest", "_tie", F.explode(hit).alias("_hit")).select(
-        *by, F.col("_hit._cut").alias("_cut"), "_digest", "_tie"
+    place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_digest", "_tie"))
+    placed = candidates.withColumn("_at", place)
+    cuts = placed.groupBy(*by).agg(
+        *[
+            F.max(F.when(F.col("_at") == F.col(f"_need_{cut}"), F.col(column))).alias(f"_{cut}{column}")
+            for cut in ranks
+            for column in ("_digest", "_tie")
+        ]
     )
+    return settle(cuts, "cuts")
 
 
 def keep_first(
@@ -127,17 +141,15 @@ def keep_first(
 
     `key` must be unique within a group.
     """
-    tagged = df.withColumn("_digest", digest(key, salt, seed)).withColumn("_tie", F.col(key))
+    tagged = df.withColumns({"_digest": digest(key, salt, seed), "_tie": F.col(key)})
     units = tagged.select(*by, "_digest", "_tie")
     histogram = group_histogram(units, by)
-    full = histogram.df.groupBy(*by).agg(F.sum("_n").alias("_total")).filter(F.col("_total") > n)
-    wanted = full.select(*by, F.lit("keep").alias("_cut"), F.lit(n).cast("bigint").alias("_rank"))
-    cuts = permutation_cuts(units, by, histogram, wanted).select(
-        *by, F.col("_digest").alias("_cut_digest"), F.col("_tie").alias("_cut_tie")
-    )
-    joined = lookup_join(tagged, settle(cuts, "cuts"), by, [key], null_safe=True)
+    groups = histogram.df.select(*by).distinct()
+    cuts = permutation_cuts(units, by, histogram, groups, {"keep": F.lit(n)})
+    joined = lookup_join(tagged, cuts, by, [key], null_safe=True)
+    # A group without a cut has fewer than `n` rows: all of them stay.
     return joined.filter(
-        F.col("_cut_digest").isNull() | at_or_before("_digest", "_tie", "_cut_digest", "_cut_tie")
+        F.col("_keep_digest").isNull() | at_or_before("_digest", "_tie", "_keep_digest", "_keep_tie")
     ).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
