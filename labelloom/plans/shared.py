@@ -37,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path of this application that nothing has used yet."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, purpose: str = "table") -> Settled:
