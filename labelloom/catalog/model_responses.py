@@ -162,8 +162,8 @@ def union_raw_sources(spark, sf_dir):
     return L.union_raw(documents, answers)
 
 
-# Every answered request gives two rows, so a combination runs out of its 13 attempts or reaches its target.
+# Every answered request gives two rows; a refused combination runs out of attempts.
 @registry.add("llm_generate_rounds", None)
 def llm_generate_rounds(spark, sf_dir):
-    rows = L.generate_from_model(categories(spark, sf_dir), echo_model, {x: x for x in LANGUAGES}, n=9, k=3)
+    rows = L.generate_from_model(categories(spark, sf_dir), echo_model, {x: x for x in LANGUAGES}, n=6, k=3)
     return rows.groupBy("category_label", "language").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -149,14 +149,18 @@ def vary(
 def base_texts(
     templates: DataFrame, categories: DataFrame, skills: DataFrame, n: int, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """(text_key, category, text): the first `n` texts of each category in seeded order."""
-    plan = variation_plan(templates, categories, n)
-    expanded = expand(templates, plan).withColumn("text_key", row_key("category", "template_idx", "variation"))
-    varied = vary(expanded, skills, "text_key", seed)
-    generic = generic_fallback(plan, n, seed).withColumn("text_key", row_key("category", "template_idx", "variation"))
+    """(text_key, category, text): the first `n` texts of each category in seeded order.
+
+    The quota is taken on the keys, before any text is made.
+    """
+    key = row_key("category", "template_idx", "variation")
+    plan = settle(variation_plan(templates, categories, n), "plan").df
+    expanded = expand(templates, plan).withColumn("text_key", key)
+    chosen = keep_first(expanded, ["category"], n, "text_key", "quota", seed)
+    varied = vary(chosen, skills, "text_key", seed)
+    generic = generic_fallback(plan, n, seed).withColumn("text_key", key)
     columns = ["text_key", "category", "text"]
-    everything = varied.select(*columns).unionByName(generic.select(*columns))
-    return keep_first(everything, ["category"], n, "text_key", "quota", seed)
+    return varied.select(*columns).unionByName(generic.select(*columns))
 
 
 def language_rows(base: DataFrame, languages: list[str]) -> DataFrame:

@@ -110,7 +110,8 @@ def prepare(
     check_strata(df, label_col, test)
     parts = split_rows(df, label_col, key, test, val, group_key=group_key, seed=seed)
     capped = cap_splits(parts, key, cap, seed)
-    conversations = filter_valid(project_messages(to_messages(capped, text_col, label_col), key, "split"))
+    # `to_messages` builds exactly two messages, so there is nothing for `filter_valid` to drop here.
+    conversations = project_messages(to_messages(capped, text_col, label_col), key, "split")
     return Prepared(conversations, train_vocabulary(capped, label_col))
 
 

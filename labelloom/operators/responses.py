@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import row_key
@@ -90,16 +91,21 @@ def render_requests(plan: DataFrame) -> DataFrame:
     return prompted.withColumn("body", request_body(F.col("prompt"), n))
 
 
-def call_model(requests: DataFrame, open_client: Callable[[], Callable[[str], str]]) -> DataFrame:
-    """(request_id, response, error): one call per request, a client per partition.
+def call_model(
+    requests: DataFrame, open_client: Callable[[], Callable[[str], str]], callers: int | None = None
+) -> DataFrame:
+    """One call per request, a client per partition: the request's columns, `response` and `error`.
 
+    Calls are slow and request tables small, so the requests are spread over
+    `callers` tasks (default: the cluster's parallelism).
     A failing call gives its error instead of a response. Write the result before
     using it twice: computing it again repeats the calls.
     """
+    kept = [f for f in requests.schema.fields if f.name not in ("prompt", "body")]
+    names = [f.name for f in kept]
+    text = T.StringType()
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
-
         client = None
         for batch in batches:
             answers, errors = [], []
@@ -111,11 +117,11 @@ def call_model(requests: DataFrame, open_client: Callable[[], Callable[[str], st
                 except Exception as problem:
                     answers.append(None)
                     errors.append(str(problem))
-            yield pd.DataFrame({"request_id": batch["request_id"], "response": answers, "error": errors})
+            yield batch[names].assign(response=answers, error=errors)
 
-    return requests.select("request_id", "body").mapInPandas(
-        run, "request_id string, response string, error string"
-    )
+    schema = T.StructType([*kept, T.StructField("response", text), T.StructField("error", text)])
+    tasks = callers or requests.sparkSession.sparkContext.defaultParallelism
+    return requests.select(*names, "body").repartition(tasks, "request_id").mapInPandas(run, schema)
 
 
 def extract_generation(body: Column) -> Column:
@@ -170,25 +176,19 @@ def generate_from_model(
         plan = settle(request_plan(combos, n, k, done), "requests")
         if plan.rows == 0:
             break
-        answers = settle(
-            call_model(render_requests(plan.df), open_client).join(
-                plan.df.select("request_id", *COMBINATION, "attempt"), "request_id"
-            ),
-            "responses",
-        ).df
-        texts = answers.withColumn("generation", extract_generation(F.col("response")))
-        parsed = parse_delimited(texts.drop("response", "error"), "generation")
-        rounds.append(settle(parsed.withColumn("attempt", F.col("attempt").cast("bigint")), "parsed").df)
-        made = union_raw(*rounds).groupBy(*COMBINATION).agg(F.count(F.lit(1)).alias("_rows"))
-        used = answers.groupBy(*COMBINATION).agg(F.max("attempt").alias("_used"))
-        previous = [] if done is None else [done.df.select(*COMBINATION, F.lit(None).cast("bigint").alias("_rows"), F.col("used").alias("_used"))]
-        seen = union_raw(made, used, *previous)
-        state = seen.groupBy(*COMBINATION).agg(
-            F.least(F.coalesce(F.max("_rows"), F.lit(0).cast("bigint")), F.lit(n).cast("bigint")).alias("made"),
-            F.max("_used").alias("used"),
+        texts = delimited_parts(extract_generation(F.col("response")))
+        answers = call_model(render_requests(plan.df), open_client).select(
+            *COMBINATION, "attempt", F.coalesce(texts, F.array().cast("array<string>")).alias("texts")
+        )
+        rounds.append(settle(answers.withColumn("n_texts", F.size("texts").cast("bigint")), "answers").df)
+        progress = union_raw(*rounds).groupBy(*COMBINATION).agg(
+            F.least(F.sum("n_texts"), F.lit(n).cast("bigint")).alias("made"), F.max("attempt").alias("used")
         )
-        done = settle(state, "progress")
+        done = settle(progress, "progress")
     if not rounds:
-        return combos.select(F.lit("").alias(TEXT_COLUMN), F.col("category").alias(LABEL_COLUMN)).limit(0)
-    kept = quota_cap(union_raw(*rounds), COMBINATION, ["attempt", "pos"], n)
+        return combos.select(
+            F.lit("").alias(TEXT_COLUMN), F.col("category").alias(LABEL_COLUMN), "language"
+        ).limit(0)
+    rows = union_raw(*rounds).select(*COMBINATION, "attempt", F.posexplode("texts").alias("pos", "text"))
+    kept = quota_cap(rows, COMBINATION, ["attempt", "pos"], n)
     return kept.select(F.col("text").alias(TEXT_COLUMN), F.col("category").alias(LABEL_COLUMN), "language")
