@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.hashing import DEFAULT_SEED
+from labelloom.plans.shared import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,13 @@ class Registry(dict[str, Entry]):
         return register
 
 
+# Tables whose rows are costly to work on, with the key to spread a small file by.
+HEAVY = {"documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, HEAVY[name]) if name in HEAVY else df
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,13 +89,15 @@ REQUEST_WRAPPER = "<s>[INST] {prompt} [/INST]"
 WORD_CLASS = r"[\p{L}\p{N}_]"
 TRANSLATION_MARKER = r"\[[A-Z]{2,}_(?:UNTRANSLATED|NO_TRANSLATE_CLIENT|FAILED_" + WORD_CLASS + r"+|ERROR)\]"
 BRACKETED_MARKER = r"\[[A-Z_]+\]"
-# The characters that count as whitespace, as a string and as a character class.
+# The characters that count as whitespace, and the same set as two character classes: Latin-1 characters
+# listed one by one (the regex engine tests such a class by table look-up), and the others.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0"
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# `[^!-~]&&` first rules out printable ASCII, so most characters cost one range test.
-WHITESPACE_CLASS = r"[[^!-~]&&[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+NARROW_SPACE = r"[\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0]"
+WIDE_SPACE = r"[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+WIDE_SPACE_RANGE = r"[\u1680-\u3000]"
 PROMPT_PREFIX = "Classify the following job description. Job Description: "
 
 # --- fixed values: split, encoding and scoring ---

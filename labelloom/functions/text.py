@@ -16,10 +16,14 @@ def strip(text: Column) -> Column:
 def squeeze(text: Column) -> Column:
     """Every whitespace run becomes one blank; none at the ends.
 
-    The pattern passes over single blanks, which need no change.
+    The main pattern passes over single blanks, which need no change, and sees
+    Latin-1 whitespace only; the few texts that may hold other whitespace have it
+    turned into blanks first.
     """
-    ws = V.WHITESPACE_CLASS
-    return F.trim(F.regexp_replace(text, f"{ws}(?:{ws}+|(?<=[^ ]))", " "))
+    ws = V.NARROW_SPACE
+    maybe_wide = F.rlike(text, F.lit(V.WIDE_SPACE_RANGE))
+    unified = F.when(maybe_wide, F.regexp_replace(text, V.WIDE_SPACE, " ")).otherwise(text)
+    return F.trim(F.regexp_replace(unified, f"{ws}(?:{ws}+|(?<=[^ ]))", " "))
 
 
 def clean_text(text: Column) -> Column:

@@ -34,7 +34,7 @@ def train_classifier(
     """
     labels = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep")
     indexer = labels.fit(train)
-    tokenizer = RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=V.WHITESPACE_CLASS + "+")
+    tokenizer = RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=V.NARROW_SPACE + "+")
     hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
     weighting = IDF(inputCol="_tf", outputCol="_features")
     columns = {"featuresCol": "_features", "labelCol": "_label", "predictionCol": "_prediction"}

@@ -64,6 +64,15 @@ def measure(df: DataFrame) -> Settled:
     return Settled(df, int(row["n"]), int(row["b"]))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core work when the input comes in fewer splits than there are cores.
+
+    Large inputs have many more splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory bytes of one row."""
     total = F.lit(0).cast("bigint")
