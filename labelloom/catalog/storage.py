@@ -53,7 +53,7 @@ def src_json_document(spark, sf_dir):
         F.to_json(F.collect_list(F.struct(*[f.name for f in ROWS.fields]))).alias("value")
     )
     records.write.partitionBy("chunk").text(path)
-    return IN.load_raw(spark, path, ROWS)
+    return IN.load_raw(spark, path, ROWS).select(*ROWS.names)
 
 
 @registry.add("src_named_table", ALL_ROWS)
