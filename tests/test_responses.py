@@ -89,14 +89,15 @@ def test_one_round_when_answers_are_full(spark):
     client, calls = model(per_call=5)
     out = L.generate_from_model(G.category_frame(spark, ["A", "B"]), client, {"English": "en", "French": "fr"}, n=7, k=5)
     assert counts(out) == {(c, x): 7 for c in "AB" for x in ("English", "French")}
-    assert all(c == ["5", "2"] for c in calls().values()) and len(calls()) == 4
+    assert all(sorted(c) == ["2", "5"] for c in calls().values()) and len(calls()) == 4
 
 
 def test_short_answers_take_more_rounds(spark):
     client, calls = model(per_call=2)
     out = L.generate_from_model(G.category_frame(spark, ["A"]), client, {"English": "en"}, n=7, k=5)
     assert counts(out) == {("A", "English"): 7}
-    assert calls() == {"A in English": ["5", "2", "3", "1"]}
+    asked = calls()["A in English"]
+    assert sorted(asked[:2]) == ["2", "5"] and asked[2:] == ["3", "1"]
 
 
 def test_attempts_run_out(spark):
