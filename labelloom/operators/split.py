@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED, digest
 from labelloom.plans.joins import lookup_join
-from labelloom.plans.ordering import at_or_before, group_histogram, keep_first, number_rows, permutation_cuts
+from labelloom.plans.ordering import at_or_before, keep_first, number_rows, permutation_cuts, rank_index
 from labelloom.plans.shared import settle
 
 SALT = "split"
@@ -80,11 +80,10 @@ def split_rows(
     units = tagged.select("_stratum", "_digest", "_tie")
     if group_key:
         units = settle(units.distinct(), "split-groups").df
-    histogram = group_histogram(units, ["_stratum"])
-    counts = histogram.df.groupBy("_stratum").agg(F.sum("_n").alias("_n"))
-    quotas = class_quotas(counts, "_stratum", test, val)
+    index = rank_index(units, ["_stratum"])
+    quotas = class_quotas(index.totals.df, "_stratum", test, val)
     ranks = {"test": F.col("n_test"), "validation": F.col("n_test") + F.col("n_validation")}
-    cuts = permutation_cuts(units, ["_stratum"], histogram, quotas, ranks)
+    cuts = permutation_cuts(index, quotas, ranks)
     joined = lookup_join(tagged, cuts, ["_stratum"], [unit], null_safe=True)
     part = (
         F.when(at_or_before("_digest", "_tie", "_test_digest", "_test_tie"), "test")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,8 @@ from labelloom.functions.hashing import digest
 from labelloom.plans.joins import fits_broadcast, lookup_join
 from labelloom.plans.shared import Settled, settle
 
-HISTOGRAM_DIGITS = 3
+BUCKET_ROWS = 1000
+MAX_DIGITS = 4
 SPREAD = 64
 
 
@@ -64,29 +66,43 @@ def first_n_per_group(
     return kept.drop("_slot", "_rank")
 
 
-def group_histogram(units: DataFrame, by: list[str], digits: int = HISTOGRAM_DIGITS) -> Settled:
-    """Counts per group and leading hex digits of `_digest` (map-side combined)."""
-    counts = units.groupBy(*by, F.substring("_digest", 1, digits).alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n")
+@dataclass(frozen=True)
+class RankIndex:
+    """Units with a `_bucket`, rows per group (`_n`), and rows per group and bucket (`_n`)."""
+
+    by: list[str]
+    units: DataFrame
+    totals: Settled
+    histogram: Settled
+
+
+def rank_index(units: DataFrame, by: list[str]) -> RankIndex:
+    """Bucket each group's units by leading hex digits of `_digest`.
+
+    The larger a group, the more digits, so that a bucket holds about BUCKET_ROWS
+    rows; a group of 10^10 rows has 65,536 buckets, a small one a single bucket.
+    """
+    counts = units.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    digits = F.ceil(F.log(16.0, F.greatest(F.col("_n") / BUCKET_ROWS, F.lit(1.0))))
+    totals = settle(counts.withColumn("_digits", F.least(digits, F.lit(MAX_DIGITS)).cast("int")), "group-sizes")
+    sized = Settled(totals.df.drop("_n"), totals.rows, totals.nbytes)
+    tagged = lookup_join(units, sized, by, ["_digest", "_tie"], null_safe=True)
+    bucketed = tagged.select(
+        *by, "_digest", "_tie", F.substr("_digest", F.lit(1), F.col("_digits")).alias("_bucket")
     )
-    return settle(counts, "histogram")
+    histogram = settle(bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram")
+    return RankIndex(by, bucketed, Settled(totals.df.drop("_digits"), totals.rows, totals.nbytes), histogram)
 
 
-def permutation_cuts(
-    units: DataFrame,
-    by: list[str],
-    histogram: Settled,
-    groups: DataFrame,
-    ranks: dict[str, Column],
-    digits: int = HISTOGRAM_DIGITS,
-) -> Settled:
+def permutation_cuts(index: RankIndex, groups: DataFrame, ranks: dict[str, Column]) -> Settled:
     """Exact digest and tie of wanted ranks in each group's digest order.
 
     `ranks` names cuts and gives their rank from the columns of `groups` (one row
     per group). The histogram tells which bucket holds a rank, so only that bucket
-    (1/16^digits of the group) is sorted. The result has `_{cut}_digest` and
+    is sorted. The result has `_{cut}_digest` and
     `_{cut}_tie` per group, null where the rank is 0 or beyond the group.
     """
+    by, histogram = index.by, index.histogram
     group_keys = {c: f"_group_{c}" for c in by}
     rank_columns = {f"_rank_{cut}": rank.cast("bigint") for cut, rank in ranks.items()}
     groups = groups.select(
@@ -113,9 +129,8 @@ def permutation_cuts(
     # The buckets that hold a cut are some of the histogram's rows, so its size bounds theirs.
     bounded = Settled(holders, histogram.rows, histogram.nbytes + 8 * len(ranks) * histogram.rows)
     held = bounded if fits_broadcast(bounded) else settle(holders, "cut-buckets")
-    bucketed = units.select(*by, "_digest", "_tie", F.substring("_digest", 1, digits).alias("_bucket"))
     candidates = lookup_join(
-        bucketed, held, [*by, "_bucket"], ["_digest", "_tie"], how="inner", null_safe=True
+        index.units, held, [*by, "_bucket"], ["_digest", "_tie"], how="inner", null_safe=True
     )
     place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_digest", "_tie"))
     placed = candidates.withColumn("_at", place)
@@ -143,9 +158,8 @@ def keep_first(
     """
     tagged = df.withColumns({"_digest": digest(key, salt, seed), "_tie": F.col(key)})
     units = tagged.select(*by, "_digest", "_tie")
-    histogram = group_histogram(units, by)
-    groups = histogram.df.select(*by).distinct()
-    cuts = permutation_cuts(units, by, histogram, groups, {"keep": F.lit(n)})
+    index = rank_index(units, by)
+    cuts = permutation_cuts(index, index.totals.df, {"keep": F.lit(n)})
     joined = lookup_join(tagged, cuts, by, [key], null_safe=True)
     # A group without a cut has fewer than `n` rows: all of them stay.
     return joined.filter(
