@@ -47,8 +47,8 @@ SLICE_CHARS = 500_000
 
 # A lone blank between other white space, or at the end, is not the start of a word.
 INNER_BLANK = re.compile(r"\s (?!\S)|\s\n|\n\s")
-# A full stop or comma after another sign belongs to that sign's run.
-JOINED_STOP = re.compile(r"[^\w\s][.,]")
+# A full stop or comma after anything but a letter or digit may belong to a run of signs.
+JOINED_STOP = re.compile(r"[\W_][.,]")
 
 
 class Encoder:
