@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from labelloom.llm.op10 import op10_license_scan
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
 from labelloom.llm.op5 import op5_pack_sequences
 from labelloom.llm.op6 import op6_simhash
+from labelloom.llm.op9 import op9_quality_rules
 
 QUERIES = {
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_pack_sequences": (op5_pack_sequences, None),
     "op6_simhash": (op6_simhash, None),
+    "op9_quality_rules": (op9_quality_rules, None),
+    "op10_license_scan": (op10_license_scan, None),
 }
