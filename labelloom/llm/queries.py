@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from labelloom.llm.op1 import op1_quality_classifier
 from labelloom.llm.op10 import op10_license_scan
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
 from labelloom.llm.op5 import op5_pack_sequences
@@ -9,6 +10,7 @@ from labelloom.llm.op6 import op6_simhash
 from labelloom.llm.op9 import op9_quality_rules
 
 QUERIES = {
+    "op1_quality_classifier": (op1_quality_classifier, None),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_pack_sequences": (op5_pack_sequences, None),
     "op6_simhash": (op6_simhash, None),
