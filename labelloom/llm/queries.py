@@ -7,6 +7,8 @@ from labelloom.llm.op10 import op10_license_scan
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
 from labelloom.llm.op5 import op5_pack_sequences
 from labelloom.llm.op6 import op6_simhash
+from labelloom.llm.op7 import op7_url_filter
+from labelloom.llm.op8 import OP8_SQL, op8_warc
 from labelloom.llm.op9 import op9_quality_rules
 
 QUERIES = {
@@ -14,6 +16,8 @@ QUERIES = {
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_pack_sequences": (op5_pack_sequences, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_url_filter": (op7_url_filter, None),
+    "op8_warc": (op8_warc, OP8_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_license_scan": (op10_license_scan, None),
 }
