@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from labelloom.llm.op1 import op1_quality_classifier
 from labelloom.llm.op10 import op10_license_scan
+from labelloom.llm.op3 import op3_embedding_dedup
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
 from labelloom.llm.op5 import op5_pack_sequences
 from labelloom.llm.op6 import op6_simhash
@@ -13,6 +14,7 @@ from labelloom.llm.op9 import op9_quality_rules
 
 QUERIES = {
     "op1_quality_classifier": (op1_quality_classifier, None),
+    "op3_embedding_dedup": (op3_embedding_dedup, None),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_pack_sequences": (op5_pack_sequences, None),
     "op6_simhash": (op6_simhash, None),
