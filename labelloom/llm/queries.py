@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from labelloom.llm.op1 import op1_quality_classifier
 from labelloom.llm.op10 import op10_license_scan
+from labelloom.llm.op2 import op2_line_dedup
 from labelloom.llm.op3 import op3_embedding_dedup
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
 from labelloom.llm.op5 import op5_pack_sequences
@@ -14,6 +16,7 @@ from labelloom.llm.op9 import op9_quality_rules
 
 QUERIES = {
     "op1_quality_classifier": (op1_quality_classifier, None),
+    "op2_line_dedup": (op2_line_dedup, None),
     "op3_embedding_dedup": (op3_embedding_dedup, None),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_pack_sequences": (op5_pack_sequences, None),
@@ -22,4 +25,5 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_license_scan": (op10_license_scan, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

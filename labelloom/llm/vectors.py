@@ -35,7 +35,8 @@ from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import settle
 
 MIN_COSINE = 0.93
-TARGET_RECALL = 0.98
+TARGET_RECALL = 0.99
+LEAST_VISITS = 8
 FIT_ROWS = 20_000
 PROBE_ROWS = 500
 CELL_ROWS = 32
@@ -123,7 +124,8 @@ def fit_grid(nodes: DataFrame, rows: int, labels: int, target: float = TARGET_RE
     few = nodes.orderBy(digest("node", "probe"), "node").limit(PROBE_ROWS).toPandas()
     ranks = _neighbour_ranks(nodes, grid, unit(few["vector"].tolist()), few["label"].to_numpy(), few["node"].to_numpy())
     seen = np.cumsum(ranks)
-    visits = int(np.searchsorted(seen, target * seen[-1])) + 1 if seen[-1] else len(ranks)
+    # Twice what the sample needed: other neighbours may lie farther out than the sample's.
+    visits = max(LEAST_VISITS, 2 * (int(np.searchsorted(seen, target * seen[-1])) + 1)) if seen[-1] else len(ranks)
     return Grid(first, second, grid.reach_first, grid.reach_second, visits)
 
 
