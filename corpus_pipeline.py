@@ -34,9 +34,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier document has; a document of such lines only goes."""
-    found = dedup_lines(docs)
-    some = (F.col("n_lines") == 0) | (F.col("n_equal") + F.col("n_near") < F.col("n_lines"))
-    return _with_lengths(found.filter(some).select(*docs.columns))
+    return _with_lengths(dedup_lines(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

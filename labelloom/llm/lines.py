@@ -166,8 +166,8 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     return linked.select(later.alias("key")).filter("key IS NOT NULL").distinct()
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """`docs` with repeated lines taken out of `text`, and n_lines, n_equal, n_near (visible lines, and those taken out)."""
+def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(row, text, n_lines, n_equal, n_near): each row of `docs` as it was, its new text, and its visible lines and losses."""
     seen = document_lines(docs, key, text)
     counted = seen.groupBy("line").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.select(line_key("line").alias("key"), F.xxhash64("line").alias("h"), "line", "place", "n"), "lines")
@@ -177,21 +177,37 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     places = seen.select("doc", "version", "line_no", "place", line_key("line").alias("key"))
     hit = lookup_join(places, gone, ["key"], ["doc", "line_no"], how="inner").withColumn("equal", F.col("place") > F.col("first"))
     by_doc = hit.filter("near OR equal").groupBy("doc", "version").agg(
-        F.collect_list("line_no").alias("_out"),
+        F.collect_set("line_no").alias("_out"),
         F.count_if("equal").cast("bigint").alias("_equal"),
         F.count_if(~F.col("equal")).cast("bigint").alias("_near"),
     )
     listed = settle(by_doc, "line-lists")
     col, zero = F.col(f"`{text}`"), F.lit(0).cast("bigint")
-    keyed = docs.select("*", F.col(f"`{key}`").cast("bigint").alias("doc"), F.xxhash64(col).alias("version"))
-    joined = lookup_join(keyed, listed, ["doc", "version"], ["doc", "version"], null_safe=True).withColumn("_lines", F.split(col, "\n"))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{key}`").cast("bigint").alias("doc"),
+        F.xxhash64(col).alias("version"),
+        col.alias("text"),
+    )
+    joined = lookup_join(keyed, listed, ["doc", "version"], ["doc", "version"], null_safe=True).withColumn("_lines", F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_out"))
     rebuilt = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
     visible = F.coalesce(F.size(F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0))
-    new = F.when(F.col("_out").isNull(), col).otherwise(rebuilt)
     return joined.select(
-        *[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        visible.cast("bigint").alias("n_lines"),
+        "row",
+        F.when(F.col("_out").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(visible).cast("bigint").alias("n_lines"),
         F.coalesce("_equal", zero).alias("n_equal"),
         F.coalesce("_near", zero).alias("n_near"),
     )
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", drop_emptied: bool = True, **options) -> DataFrame:
+    """`docs` without its repeated lines, same columns.
+
+    With `drop_emptied`, a document goes when every visible line of it repeats earlier ones.
+    """
+    found = line_counts(docs, key, text, **options)
+    if drop_emptied:
+        found = found.filter((F.col("n_lines") == 0) | (F.col("n_equal") + F.col("n_near") < F.col("n_lines")))
+    return found.select(*[(F.col("text") if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
