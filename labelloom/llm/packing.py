@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -93,12 +94,23 @@ class Encoder:
                 text = text.replace(",", "\0,").replace(".", "\0.")
             cut.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
+            # Long units come back least often.
+            lengths = np.fromiter(map(len, self.memo), np.int64, len(self.memo))
+            longest = np.median(lengths)
+            self.memo = {u: ids for u, ids in self.memo.items() if len(u) <= longest}
+            if len(self.memo) > 0.8 * MEMO_ENTRIES:
+                self.memo.clear()
         memo = self.memo
         self.learn([u for u in set().union(*(u for u in cut if u)) if u not in memo])
         return [self.whole(t) if u is None else b"".join(map(memo.__getitem__, u)) for t, u in zip(texts, cut)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder, with its memo, for all tasks of a worker."""
+    return Encoder(path)
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_CHARS bytes of text each (a longer text stands alone)."""
     sizes = np.array(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)
@@ -112,7 +124,7 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     """(doc_id, source, task, start, n, ids): `start` counts the task's earlier tokens of that source."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(path), TaskContext.get().partitionId()
+        encoder, task = encoder_of(path), TaskContext.get().partitionId()
         end = np.array([END_ID], "<u4").tobytes()
         seen: dict[str | None, int] = {}
         for batch in batches:
