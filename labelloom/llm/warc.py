@@ -140,6 +140,8 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int]:
         if not colon:
             raise Broken("malformed header")
         headers[name.strip().lower()] = value.strip()
+    if not (headers.get("warc-type") and headers.get("warc-record-id")):
+        raise Broken("no type or id")
     size = headers.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         raise Broken("no length")

@@ -1,0 +1,129 @@
+import random
+
+from pyspark.sql import functions as F
+
+from labelloom.llm import lines
+from tests.llm.helpers import SF, awkward_documents, documents, empty_documents
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def plain_dedup(texts, threshold=lines.THRESHOLD, min_chars=lines.MIN_CHARS):
+    """Texts in order, with n_lines, n_equal, n_near."""
+    seen, order, out = set(), [], []
+    for text in texts:
+        kept, visible, equal, near = [], 0, 0, 0
+        for line in text.split("\n"):
+            if not line.strip(BLANKS):
+                kept.append(line)
+                continue
+            visible += 1
+            if line in seen:
+                equal += 1
+                continue
+            seen.add(line)
+            close = len(line) >= min_chars and any(
+                abs(len(line) - len(x)) <= threshold and levenshtein(line, x) <= threshold for x in order
+            )
+            if len(line) >= min_chars:
+                order.append(line)
+            if close:
+                near += 1
+            else:
+                kept.append(line)
+        out.append(("\n".join(kept), visible, equal, near))
+    return out
+
+
+def test_edit_distance_matches_the_plain_one(spark):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abé") for _ in range(rnd.randint(0, 8)))
+    rows = [(a, b, levenshtein(a, b)) for a, b in ((word(), word()) for _ in range(600))]
+    rows += [("x" * 200 + "abc" + "y" * 100, "x" * 200 + "ac" + "y" * 99 + "z", 2)]
+    table = spark.createDataFrame(rows, "a string, b string, d int")
+    for t in (1, 2, 3):
+        got = table.withColumn("g", lines.edit_distance(F.col("a"), F.col("b"), t))
+        assert got.filter(f"(d <= {t} AND NOT g <=> d) OR (d > {t} AND g IS NOT NULL)").count() == 0
+
+
+def mutated(rnd, line):
+    chars = list(line)
+    for _ in range(rnd.randint(1, 4)):
+        at = rnd.randrange(len(chars))
+        what = rnd.randint(0, 2)
+        if what == 0:
+            chars[at] = rnd.choice("qxzé")
+        elif what == 1:
+            del chars[at]
+        else:
+            chars.insert(at, rnd.choice("qxzé"))
+    return "".join(chars)
+
+
+def test_near_lines_match_brute_force(spark):
+    rnd = random.Random(4)
+    base = [" ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 7))) for _ in range(rnd.randint(5, 14))) for _ in range(60)]
+    texts = []
+    for _ in range(150):
+        picked = [rnd.choice(base) for _ in range(rnd.randint(1, 4))]
+        texts.append("\n".join(mutated(rnd, x) if rnd.random() < 0.6 else x for x in picked))
+    got = {r.row.doc_id: r for r in lines.line_counts(documents(spark, texts)).collect()}
+    want = plain_dedup(texts)
+    assert sum(w[3] for w in want) > 20
+    for i, w in enumerate(want):
+        assert (got[i].text, got[i].n_lines, got[i].n_equal, got[i].n_near) == w
+
+
+def test_whole_small_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted(docs.collect(), key=lambda r: r.doc_id)
+    got = {r.row.doc_id: r for r in lines.line_counts(docs).collect()}
+    seen = set()
+    for r in rows:
+        found = got[r.doc_id]
+        visible = [x for x in r.text.split("\n") if x.strip(BLANKS)]
+        fresh = 0
+        for x in visible:
+            fresh += x not in seen
+            seen.add(x)
+        assert found.n_lines == len(visible) and found.n_equal == len(visible) - fresh
+
+
+def test_awkward_documents(spark):
+    docs = awkward_documents(spark)
+    got = {}
+    for r in lines.line_counts(docs).collect():
+        got.setdefault(r.row.doc_id, []).append(r)
+    assert got[3][0].text is None and got[3][0].n_lines == 0
+    assert got[4][0].text == "" and got[5][0].text == " \t\n\x0b "
+    assert (got[2][0].n_equal, got[2][0].n_near, got[2][0].text) == (1, 1, "")
+    assert [r.n_equal for r in got[7]] == [0, 0]  # versions of one document
+    kept = lines.dedup_lines(docs)
+    assert kept.columns == docs.columns and kept.count() == 10
+    assert lines.dedup_lines(empty_documents(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    lines.dedup_lines(awkward_documents(spark)).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_many_variants_of_a_line(spark):
+    base = "a line that thousands of documents share but for a number at its end"
+    texts = [f"{base} {i:05d}" for i in range(0, 90000, 111)]
+    got = lines.line_counts(documents(spark, texts)).agg(F.sum("n_near").alias("near")).first().near
+    assert got == sum(w[3] for w in plain_dedup(texts[:1])) + sum(
+        any(sum(x != y for x, y in zip(f"{i:05d}", f"{j:05d}")) <= 2 or levenshtein(f"{i:05d}", f"{j:05d}") <= 2 for j in range(0, i, 111))
+        for i in range(0, 90000, 111)
+    )
