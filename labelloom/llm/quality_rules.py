@@ -6,8 +6,9 @@ class are estimated by expectation-maximisation over the table of vote patterns,
 has at most 3 ** rules rows whatever the number of documents. A document is kept if
 the posterior probability of good is at least one half and no base limit is broken.
 
-Accuracies are held between 0.55 and 0.99, so a vote never counts for the opposite
-side, and ten rules that all vote good always keep a document.
+A rule may miss most bad documents, but it is held to be better than chance: its two
+accuracies sum to more than one, so no vote counts for the opposite side. The share of good
+documents is held at one half or more, so a document for which all rules vote good is kept.
 
 Null texts have no words; they and empty texts fail the length limit and are not kept.
 """
@@ -24,8 +25,9 @@ from labelloom.llm.common import WORD_PATTERN, stored
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 ROUNDS = 25
-LOW, HIGH = 0.55, 0.99
-START_ACCURACY = 0.8
+LOW, HIGH, EDGE = 0.55, 0.99, 0.01
+# Accuracy on good and on bad documents: a rule rarely errs on good ones, and knows one kind of bad ones.
+START = (0.9, 0.3)
 
 
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -49,6 +51,8 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.regexp_count("_text", F.lit(r"!!|\?\?")).cast("bigint").alias("n_shouts"),
         F.regexp_count("_text", F.lit(r"[.!?](?=[\x20\x09-\x0D])|[.!?]\z")).cast("bigint").alias("n_ends"),
         F.regexp_count("_text", F.lit(r"\p{Lu}{3,}")).cast("bigint").alias("n_capitals"),
+        F.regexp_count("_text", F.lit(r"([^\p{L}\p{N}\x20\x09-\x0D.])\1+")).cast("bigint").alias("n_sign_runs"),
+        F.regexp_count("_text", F.lit(r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])")).cast("bigint").alias("n_bare_signs"),
         lines.alias("_lines"),
         F.size(F.array_distinct("_words")).cast("bigint").alias("n_distinct"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"),
@@ -111,6 +115,9 @@ def votes() -> dict[str, Column]:
         "length": _vote(n >= 100, n < 50),
         "word_length": _vote((chars >= 3 * n) & (chars <= 10 * n), (2 * chars < 5 * n) | (chars > 12 * n) | (n == 0)),
         "symbols": _vote(100 * F.col("n_symbols") <= 3 * n, 100 * F.col("n_symbols") > 10 * n),
+        "symbol_chars": _vote(100 * F.col("n_symbols") <= chars, 100 * F.col("n_symbols") > 3 * chars),
+        "sign_runs": _vote(100 * F.col("n_sign_runs") <= n, 100 * F.col("n_sign_runs") > 5 * n),
+        "bare_signs": _vote(100 * F.col("n_bare_signs") <= 2 * n, 100 * F.col("n_bare_signs") > 5 * n),
         "dup_lines": _vote(10 * F.col("n_dup_lines") <= lines, 10 * F.col("n_dup_lines") > 3 * lines),
         "repeats": _vote(10 * F.col("n_repeat_words") <= n, 10 * F.col("n_repeat_words") > 3 * n),
         "shouts": _vote(100 * F.col("n_shouts") <= n, 100 * F.col("n_shouts") > 5 * n),
@@ -126,7 +133,7 @@ def estimate(patterns: DataFrame, rules: list[str], rounds: int = ROUNDS) -> tup
     `patterns` has a column per rule and `n`, the documents with that pattern. A
     round is one aggregate of 2 + 4 * rules sums, read back as a single row.
     """
-    share, accuracy = 0.5, {r: (START_ACCURACY, START_ACCURACY) for r in rules}
+    share, accuracy = 0.5, dict.fromkeys(rules, START)
     for _ in range(rounds):
         p = posterior(share, accuracy)
         sums = [F.sum(F.col("n") * p).alias("good"), F.sum(F.col("n")).cast("double").alias("all")]
@@ -142,16 +149,14 @@ def estimate(patterns: DataFrame, rules: list[str], rounds: int = ROUNDS) -> tup
         if not row["all"]:
             break
         then = share
-        share = min(0.95, max(0.05, row["good"] / row["all"]))
+        share = min(0.95, max(0.5, row["good"] / row["all"]))
         before = accuracy
         # Two imagined votes of the starting accuracy keep rarely used rules in place.
-        accuracy = {
-            r: tuple(
-                min(HIGH, max(LOW, (row[f"{r}_{side}_right"] + 2 * START_ACCURACY) / (row[f"{r}_{side}"] + 2)))
-                for side in ("good", "bad")
-            )
-            for r in rules
-        }
+        accuracy = {}
+        for r in rules:
+            on_good, on_bad = ((row[f"{r}_{side}_right"] + 2 * first) / (row[f"{r}_{side}"] + 2) for side, first in zip(("good", "bad"), START))
+            on_good = min(HIGH, max(LOW, on_good))
+            accuracy[r] = (on_good, min(HIGH, max(1 - on_good + EDGE, on_bad)))
         moved = max([abs(share - then), *(abs(a - b) for r in rules for a, b in zip(accuracy[r], before[r]))])
         if moved < 1e-6:
             break
