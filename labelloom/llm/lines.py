@@ -11,7 +11,7 @@ place. Every line is filed under (n, segment number, segment) and probes, for ea
 in reach, the few substrings that the multi-match-aware rule allows. Keys under which two
 different lines meet are found in one sorted pass; only lines on such keys go on. They
 are paired where their sign parities differ in at most 2 * THRESHOLD classes (an edit changes two at
-most, so no pair is lost), and the pairs are verified with a banded bit-parallel edit
+most, so no pair is lost), and what differs of the pairs is verified with a banded bit-parallel edit
 distance: one small bit vector of diagonals for each number of edits.
 
 Null texts are empty and stay null. Rows that share an id are versions of one document and
@@ -20,6 +20,10 @@ keep equal lines at equal places. Null ids come last.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +34,7 @@ from labelloom.plans.shared import settle
 THRESHOLD = 2
 MIN_CHARS = 32
 LINE_NUMBERS = 2**31
+TASK_PAIRS = 2000
 
 
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,63 +93,100 @@ def parity(line: Column) -> Column:
     )
 
 
+def common_start(a: Column, b: Column) -> Column:
+    """Length of the longest common prefix, by bisection."""
+    most = F.least(F.length(a), F.length(b))
+    rounds = F.ceil(F.log2(most + 2.0)).cast("int")
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = ((s["low"] + s["high"] + 1) / 2).cast("int")
+        same = F.substring(a, F.lit(1), middle) == F.substring(b, F.lit(1), middle)
+        return F.struct(
+            F.when(same, middle).otherwise(s["low"]).alias("low"), F.when(same, s["high"]).otherwise(middle - 1).alias("high")
+        )
+
+    return F.aggregate(F.sequence(F.lit(0), rounds), F.struct(F.lit(0).alias("low"), most.alias("high")), halve)["low"]
+
+
+def differing_parts(a: Column, b: Column) -> Column:
+    """Struct (a, b) of both texts without their common start and end, which leaves their distance as it is."""
+
+    def over(v: Column) -> Column:
+        at = common_start(v["a"], v["b"])
+        rest = F.struct(F.substring(v["a"], at + 1, F.length(v["a"])).alias("a"), F.substring(v["b"], at + 1, F.length(v["b"])).alias("b"))
+        return _bound(rest, without_end)
+
+    def without_end(v: Column) -> Column:
+        end = common_start(F.reverse(v["a"]), F.reverse(v["b"]))
+        return F.struct(*[F.substring(v[n], F.lit(1), F.length(v[n]) - end).alias(n) for n in ("a", "b")])
+
+    return _bound(F.struct(a.alias("a"), b.alias("b")), over)
+
+
 def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     """Edits between two texts, or null when there are more than `threshold`.
 
     Bit d of vector e says that the first j signs of b and the first j + d - threshold of a
-    are at most e edits apart. A step of j keeps a diagonal where the next signs agree, and
-    takes from the vector of one edit less: the same diagonal (another sign), the one above (a sign
-    of b more) and the one below (a sign of a more).
+    are at most e edits apart. The vectors lie side by side in one number. A step of j keeps a diagonal
+    where the next signs agree, and takes from the vector of one edit less: the same diagonal
+    (another sign), the one above (a sign of b more) and the one below (a sign of a more).
     """
     width = 2 * threshold + 1
-    band = (1 << width) - 1
+    lane = width + 1
+    band = sum(((1 << width) - 1) << (lane * e) for e in range(threshold + 1))
+    spread = sum(1 << (lane * e) for e in range(threshold + 1))
     # Vector e at the start: the first d signs of a cost d edits.
-    first = [sum(1 << (threshold + d) for d in range(e + 1)) for e in range(threshold + 1)]
-    start = F.struct(*[F.lit(v).alias(f"e{e}") for e, v in enumerate(first)])
+    start = sum(1 << (lane * e + threshold + d) for e in range(threshold + 1) for d in range(e + 1))
+    big = lambda n: F.lit(n).cast("bigint")
 
     def over(v: Column) -> Column:
-        def step(s: Column, j: Column) -> Column:
-            sign = F.get(v["b"], j)
-            agree = F.lit(0)
-            for d in range(width):
-                at = j + (d - threshold)
-                agree = agree.bitwiseOR(F.when(F.get(v["a"], at) == sign, F.lit(1 << d)).otherwise(F.lit(0)))
-            return _advance(s, agree, threshold, band)
-
-        last = F.aggregate(F.when(F.size(v["b"]) > 0, F.sequence(F.lit(0), F.size(v["b"]) - 1)).otherwise(F.array().cast("array<int>")), start, step)
+        def agreeing(sign: Column, j: Column) -> Column:
+            marks = [F.when(F.get(v["a"], j + (d - threshold)) == sign, big(spread << d)).otherwise(big(0)) for d in range(width)]
+            return reduce(lambda x, y: x.bitwiseOR(y), marks)
+
+        def step(s: Column, agree: Column) -> Column:
+            less = F.call_function("shiftleft", s, F.lit(lane))
+            return closed(
+                s.bitwiseAND(agree).bitwiseOR(less).bitwiseOR(F.call_function("shiftright", less, F.lit(1))).bitwiseAND(big(band))
+            )
+
+        def closed(s: Column) -> Column:
+            # A sign of a more, within the same step; once for every edit.
+            for _ in range(threshold):
+                s = _bound(s, lambda x: x.bitwiseOR(F.call_function("shiftleft", x, F.lit(lane + 1))).bitwiseAND(big(band)))
+            return s
+
+        last = F.aggregate(F.transform(v["b"], agreeing), big(start), step)
         end = F.size(v["a"]) - F.size(v["b"]) + threshold
-        reached = F.when((end < 0) | (end >= width), F.lit(None).cast("int"))
-        for e in range(threshold + 1):
-            hit = F.call_function("shiftright", last[f"e{e}"], end).bitwiseAND(F.lit(1)) == 1
-            reached = reached.when(hit, F.lit(e))
-        return reached
 
-    signs = F.struct(_signs(a).alias("a"), _signs(b).alias("b"))
-    return F.get(F.transform(F.array(signs), over), F.lit(0))
+        def fewest(x: Column) -> Column:
+            reached = F.when((end < 0) | (end >= width), F.lit(None).cast("int"))
+            for e in range(threshold + 1):
+                hit = F.call_function("shiftright", x, F.greatest(end, F.lit(0)) + e * lane).bitwiseAND(big(1)) == 1
+                reached = reached.when(hit, F.lit(e))
+            return reached
 
+        return _bound(last, fewest)
 
-def _signs(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
+    return _bound(F.struct(_signs(a).alias("a"), _signs(b).alias("b")), over)
 
 
-def _advance(s: Column, agree: Column, threshold: int, band: int) -> Column:
-    """The next vectors; each is built once, from the one before it."""
-    now = s["e0"].bitwiseAND(agree)
-    fields = [now]
-    for e in range(1, threshold + 1):
-        below = s[f"e{e - 1}"]
-        made = s[f"e{e}"].bitwiseAND(agree).bitwiseOR(below).bitwiseOR(F.call_function("shiftright", below, F.lit(1)))
-        fields.append(made.bitwiseOR(F.call_function("shiftleft", fields[-1], F.lit(1))).bitwiseAND(F.lit(band)))
-    return F.struct(*[f.alias(f"e{e}") for e, f in enumerate(fields)])
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _signs(text: Column) -> Column:
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
 def near_lines(distinct: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(key): lines of `distinct(key, h, line, place)` that come after a line within the threshold."""
     lines = distinct.filter(F.length("line") >= min_chars)
     met = stored(meeting_keys(lines.select("h", "line"), threshold), "line-keys")
-    held = met.select("h").distinct()
+    held = settle(met.select("h").distinct(), "line-held")
     texts = stored(
-        lines.join(held, "h", "left_semi").select("h", "key", "place", "line", F.length("line").alias("n"), parity(F.col("line")).alias("signs")),
+        lookup_join(lines, held, ["h"], ["h"], how="left_semi").select("h", "key", "place", "line", F.length("line").alias("n"), parity(F.col("line")).alias("signs")),
         "line-texts",
     )
     facts = texts.select("h", "n", "signs").distinct()
@@ -160,8 +202,12 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     ).distinct()
     left = texts.select("h", F.col("line").alias("line1"), F.col("place").alias("place1"), F.col("key").alias("key1"))
     right = texts.select(F.col("h").alias("h2"), F.col("line").alias("line2"), F.col("place").alias("place2"), F.col("key").alias("key2"))
-    both = stored(pairs, "line-pairs").join(left, "h").join(right, "h2")
-    linked = both.filter(edit_distance(F.col("line1"), F.col("line2"), threshold).isNotNull())
+    met_pairs = settle(pairs, "line-pairs")
+    both = met_pairs.df.join(left, "h").join(right, "h2")
+    # Few bytes but much work: as many tasks as the pairs need, not as their size suggests.
+    both = both.repartition(max(1, math.ceil(met_pairs.rows / TASK_PAIRS)), "h", "h2")
+    edits = _bound(differing_parts(F.col("line1"), F.col("line2")), lambda x: edit_distance(x["a"], x["b"], threshold))
+    linked = both.filter(edits.isNotNull())
     later = F.when(F.col("place1") > F.col("place2"), F.col("key1")).when(F.col("place1") < F.col("place2"), F.col("key2"))
     return linked.select(later.alias("key")).filter("key IS NOT NULL").distinct()
 
