@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.hashing import DEFAULT_SEED
-from labelloom.plans.shared import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,13 +32,16 @@ class Registry(dict[str, Entry]):
         return register
 
 
-# Tables whose rows are costly to work on, with the key to spread a small file by.
-HEAVY = {"documents": "doc_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; documents in a handful of splits are dealt out, so that all cores have work.
+
+    Inputs with a quarter as many splits as there are cores, or more, are left as they are.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, HEAVY[name]) if name in HEAVY else df
+    if name != "documents":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "doc_id") if 4 * df.rdd.getNumPartitions() <= cores else df
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -320,6 +320,43 @@ def enrich_translate_with_client(spark, sf_dir):
     return step(foreign_rows(spark, sf_dir)).drop("text")
 
 
+def client_run(spark, sf_dir):
+    step = R.translate_with(echo_client, wait=no_wait)
+    return G.generate_run(templates(spark, sf_dir), categories(spark, sf_dir), LANGUAGES, N, SKILLS, step)
+
+
+RUN_SQL = f"""{BASE_SQL},
+called AS (
+  SELECT *, CASE WHEN target_language = 'en' THEN 'passed' WHEN md5(text) < '8' THEN 'translated'
+                 WHEN md5(text) < 'c' THEN 'failed' ELSE 'error' END AS status
+  FROM (SELECT category, text, unnest({sql_list(LANGUAGES)}) AS target_language FROM base))"""
+
+
+@registry.add("generate_raw_with_client", f"""WITH {RUN_SQL}
+SELECT CASE status WHEN 'passed' THEN text WHEN 'translated' THEN target_language || '> ' || text
+            WHEN 'failed' THEN '[' || upper(target_language) || '_FAILED_ThrottlingException] ' || text
+            ELSE '[' || upper(target_language) || '_ERROR] ' || text END AS job_description_text,
+       category AS category_label, 'en' AS source_language, target_language FROM called""")
+def generate_raw_with_client(spark, sf_dir):
+    return client_run(spark, sf_dir).rows
+
+
+@registry.add("generate_run_statistics", f"""WITH {RUN_SQL},
+sums AS (
+  SELECT count(*) FILTER (WHERE status <> 'passed') AS tried, count(*) FILTER (WHERE status = 'translated') AS good,
+         count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'error') AS broken FROM called)
+SELECT 'attempted' AS key, tried AS n FROM sums UNION ALL SELECT 'successful', good FROM sums
+UNION ALL SELECT 'failed', failed + broken FROM sums
+UNION ALL SELECT 'ThrottlingException: Rate exceeded', failed FROM sums WHERE failed > 0
+UNION ALL SELECT 'UnknownError: no such phrase', broken FROM sums WHERE broken > 0""")
+def generate_run_statistics(spark, sf_dir):
+    """Statistics and error kinds of the run that makes the rows."""
+    run = client_run(spark, sf_dir)
+    totals = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("n")) for c in ("attempted", "successful", "failed")])
+    counted = run.statistics.select(F.inline(totals))
+    return counted.unionByName(run.errors.select(F.col("error_type").alias("key"), "n"))
+
+
 ATTEMPTS_SQL = """
 attempts AS (
   SELECT event_id // 3 AS item_id, event_id % 3 AS attempt,

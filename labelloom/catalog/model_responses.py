@@ -162,8 +162,32 @@ def union_raw_sources(spark, sf_dir):
     return L.union_raw(documents, answers)
 
 
-# Every answered request gives two rows; a refused combination runs out of attempts.
-@registry.add("llm_generate_rounds", None)
+# The calls of a combination are told one after another: round by round, what is missing is asked for
+# in full requests and a rest. An answered request gives two rows, a refused one none.
+ROUNDS_SQL = f"""
+WITH RECURSIVE combos AS (
+  SELECT category, language FROM (SELECT DISTINCT source AS category FROM documents),
+         (SELECT unnest(['English', 'Spanish', 'French']) AS language)),
+rounds AS (
+  SELECT category, language, 0 AS round, 0::bigint AS made, 0::bigint AS used, []::bigint[] AS given FROM combos
+  UNION ALL
+  SELECT category, language, round + 1, least({N}, made + coalesce(list_sum(got), 0))::bigint, used + calls,
+         list_concat(given, got)
+  FROM (
+    SELECT *, list_transform(range(0, calls), lambda i:
+      CASE WHEN md5(replace(replace(replace('{V.REQUEST_WRAPPER.replace("{prompt}", V.REQUEST_PROMPT).replace("'", "''")}',
+             '{{category}}', category), '{{language}}', language), '{{n}}', least({K}, {N} - made - i * {K})::varchar)) < '3'
+           THEN 0 ELSE 2 END::bigint) AS got
+    FROM (SELECT *, least(ceil(({N} - made) / {K}::double)::bigint, {N // K + V.EXTRA_ATTEMPTS} - used) AS calls FROM rounds
+          WHERE made < {N} AND used < {N // K + V.EXTRA_ATTEMPTS} AND round < {N // K + V.EXTRA_ATTEMPTS}))
+  WHERE calls > 0),
+last AS (SELECT category, language, arg_max(given, round) AS given FROM rounds GROUP BY ALL),
+texts AS (
+  SELECT category, language, category || ' text ' || unnest(flatten(list_transform(given, lambda g: range(1, g + 1)))) AS text,
+         unnest(range(0, list_sum(given)::bigint)) AS place FROM last)
+SELECT text AS job_description_text, category AS category_label, language FROM texts WHERE place < {N}"""
+
+
+@registry.add("llm_generate_rounds", ROUNDS_SQL)
 def llm_generate_rounds(spark, sf_dir):
-    rows = L.generate_from_model(categories(spark, sf_dir), echo_model, {x: x for x in LANGUAGES}, n=6, k=3)
-    return rows.groupBy("category_label", "language").agg(F.count(F.lit(1)).alias("n_rows"))
+    return L.generate_from_model(categories(spark, sf_dir), echo_model, {x: x for x in LANGUAGES}, n=N, k=K)

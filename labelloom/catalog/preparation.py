@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.catalog.base import (
-    RAW_SQL, Registry, raw_rows, sql_clean, sql_digest, sql_split, sql_strip, table,
+    RAW_SQL, Registry, raw_rows, sql_clean, sql_digest, sql_quotas, sql_split, sql_strip, table,
 )
 from labelloom.functions import text as X
 from labelloom.operators import prepare as P
@@ -184,12 +184,14 @@ def split_grouped(spark, sf_dir):
     return S.split_rows(rows, "category_label", "row_id", group_key="copy_group").select("row_id", "split")
 
 
-@registry.add("check_strata", """
-SELECT n_classes, smallest, n_rows, n_test, n_rows - n_test AS n_train,
-       (n_classes <= 1 OR (smallest >= 2 AND least(n_test, n_rows - n_test) >= n_classes)) AS can_stratify
-FROM (SELECT count(*) AS n_classes, min(n) AS smallest, sum(n)::bigint AS n_rows,
-             ceil(0.15::double * sum(n))::bigint AS n_test
-      FROM (SELECT count(*) AS n FROM documents GROUP BY source))""")
+@registry.add("check_strata", f"""WITH {RAW_SQL},{sql_quotas('raw', 'source')},
+sizes AS (
+  SELECT count(*) AS n_classes, min(n)::bigint AS smallest, sum(n)::bigint AS n_rows, sum(n_test)::bigint AS n_test,
+         sum(n - n_test)::bigint AS n_train, count(*) FILTER (WHERE n > n_test) AS n_classes_left,
+         (min(n - n_test) FILTER (WHERE n > n_test))::bigint AS smallest_left, sum(n_validation)::bigint AS n_validation FROM quotas)
+SELECT *, (n_classes <= 1 OR (smallest >= 2 AND least(n_test, n_train) >= n_classes)) AS can_stratify_test,
+       (n_classes_left <= 1 OR (smallest_left >= 2 AND least(n_validation, n_train - n_validation) >= n_classes_left))
+         AS can_stratify_validation FROM sizes""")
 def check_strata(spark, sf_dir):
     return S.strata_report(raw_rows(spark, sf_dir), "source")
 
@@ -226,3 +228,17 @@ FROM capped""")
 def prepare_conversations(spark, sf_dir):
     ready = P.prepare(raw_rows(spark, sf_dir), cap=CAP, key="row_id")
     return P.prompt_and_label(ready.conversations).select("row_id", "split", "prompt", "true_label")
+
+
+@registry.add("prepare_all_rows", f"""WITH {RAW_SQL},{sql_split('raw')}
+SELECT row_id, split, '{PREFIX}' || {sql_clean('job_description_text')} AS prompt, category_label AS true_label FROM parts""")
+def prepare_all_rows(spark, sf_dir):
+    ready = P.prepare(raw_rows(spark, sf_dir), key="row_id")
+    return P.prompt_and_label(ready.conversations).select("row_id", "split", "prompt", "true_label")
+
+
+@registry.add("prepare_metrics", f"""WITH {RAW_SQL},{sql_split('raw')}
+SELECT 'num_unique_categories' AS key, count(DISTINCT category_label)::double AS value FROM parts WHERE split = 'train'
+UNION ALL SELECT split || '_sample_count', count(*)::double FROM parts GROUP BY split""")
+def prepare_metrics(spark, sf_dir):
+    return P.preparation_metrics(P.settle_prepared(P.prepare(raw_rows(spark, sf_dir), key="row_id")))

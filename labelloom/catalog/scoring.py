@@ -24,15 +24,24 @@ def fit(rows):
     return M.train_classifier(rows.filter("split = 'train'"), "job_description_text", "category_label")
 
 
-@registry.add("train_classifier")
+FLOOR = 0.8
+
+
+@registry.add("train_classifier", f"""WITH {RAW_SQL},{sql_split('raw')}
+SELECT count(*) AS n_rows, count(*) AS n_in_vocabulary, true AS above_floor FROM parts WHERE split = 'test'""")
 def train_classifier(spark, sf_dir):
-    """Summary of the trained model on the test part."""
+    """Test rows, those predicted with a known label, and whether accuracy reaches a fixed floor."""
     rows = parts(spark, sf_dir)
     labelled = M.classify(fit(rows), rows.filter("split = 'test'")).select(
         "row_id", F.col("category_label").alias("true_label"), "predicted_label"
     )
     vocabulary = S.train_vocabulary(rows, "category_label")
-    return rounded(E.evaluation_summary(E.normalize_predictions(labelled, vocabulary)))
+    summary = E.evaluation_summary(E.normalize_predictions(labelled, vocabulary))
+    return summary.select(
+        F.col("num_total_predictions").alias("n_rows"),
+        F.col("num_valid_predictions").alias("n_in_vocabulary"),
+        (F.col("accuracy") >= FLOOR).alias("above_floor"),
+    )
 
 
 @registry.add("model_roundtrip", f"""WITH {RAW_SQL},{sql_split('raw')}
@@ -89,3 +98,22 @@ def extract_prediction(spark, sf_dir):
         M.extract_prediction(F.col("raw_output"), F.col("prompt")).alias("predicted_label"),
         M.extract_prediction(F.col("raw_output"), F.col("prompt"), "prefix").alias("by_prefix"),
     )
+
+
+@registry.add("evaluate_predictor", f"""WITH {PROMPTS_SQL},
+outputs AS (SELECT row_id, prompt, true_label, {OUTPUT_SQL} AS out FROM prompts),
+told AS (SELECT *, lower({first_line('substring(out, length(prompt) + 1)')}) AS answer FROM outputs)
+SELECT round(coalesce((count(*) FILTER (WHERE answer = true_label))
+                      / nullif(count(*) FILTER (WHERE answer <> 'nothing'), 0), 0), 6) AS accuracy,
+       count(*) AS num_total_predictions, count(*) FILTER (WHERE answer <> 'nothing') AS num_valid_predictions FROM told""")
+def evaluate_predictor(spark, sf_dir):
+    """The whole way: prompts, predictor, extracted labels, evaluation."""
+    scored = M.batch_predict(test_prompts(spark, sf_dir), "prompt", echo_predictor)
+    answers = scored.select(
+        "row_id",
+        F.col("prompt").alias("input_text"),
+        "true_label",
+        M.extract_prediction(F.col("raw_output"), F.col("prompt")).alias("predicted_label"),
+    )
+    labels = raw_rows(spark, sf_dir).select(F.col("category_label").alias("category")).distinct()
+    return rounded(E.evaluate(answers, S.index_labels(labels)).summary)

@@ -14,7 +14,7 @@ from labelloom.operators import metrics as R
 from labelloom.operators import prepare as P
 from labelloom.operators import split as S
 from labelloom.plans.shared import fresh_path
-from labelloom.schemas import METRICS, MESSAGES
+from labelloom.schemas import MESSAGES, METRICS, PARAMS
 from labelloom.sources import readers as IN
 from labelloom.sources import writers as OUT
 
@@ -146,3 +146,27 @@ def sink_run_metrics(spark, sf_dir):
     OUT.write_run_metrics(R.train_metric_rename(log_events(spark, sf_dir)), path, "run-1", "train")
     back = spark.read.schema(METRICS).parquet(path)
     return back.select("run_id", "stage", "key", F.round("value", 6).alias("value"), "step")
+
+
+@registry.add("sink_run_params", """
+SELECT 'run-1' AS run_id, 'event_' || event_id || '_k' AS key, json_extract_string(props, '$.k') AS value FROM events""")
+def sink_run_params(spark, sf_dir):
+    path = fresh_path(spark, "run-params")
+    props = table(spark, sf_dir, "events").select("event_id", "props")
+    flat = R.flatten_params(props, "props", "").filter("key = 'k'")
+    named = flat.select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit("_"), "key").alias("key"), "value")
+    OUT.write_run_params(named, path, "run-1")
+    return spark.read.schema(PARAMS).parquet(path).select("run_id", "key", "value")
+
+
+@registry.add("list_files", """
+SELECT 'split=' || split AS folder, true AS has_files FROM (
+  SELECT DISTINCT CASE doc_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test' ELSE 'validation' END AS split FROM documents)""")
+def list_files(spark, sf_dir):
+    """Folders found by listing a written per-split table."""
+    path = fresh_path(spark, "listed")
+    part = F.when(F.col("doc_id") % 3 == 0, "train").when(F.col("doc_id") % 3 == 1, "test").otherwise("validation")
+    table(spark, sf_dir, "documents").select("text", part.alias("split")).write.partitionBy("split").json(path)
+    folder = F.regexp_extract("key", "(split=[a-z]+)/part-[^/]*$", 1)
+    found = IN.list_files(spark, path).select(folder.alias("folder"), "size").filter("folder <> ''")
+    return found.groupBy("folder").agg((F.sum("size") > 0).alias("has_files"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ def _turn(m: Column, eos: str) -> Column:
 
 
 def words(text: Column, limit: int) -> Column:
-    """First `limit` blank-separated words."""
-    return F.slice(F.split(squeeze(text), " "), 1, limit)
+    """First `limit` blank-separated words; what follows them is not split."""
+    return F.slice(F.split(squeeze(text), " ", limit + 1), 1, limit)
 
 
 def word_vocabulary(corpus: DataFrame, text_col: str, eos: str) -> DataFrame:
@@ -90,18 +91,20 @@ def _ship_lookup(listed: DataFrame, table: Settled) -> DataFrame:
     unknown = UNKNOWN
 
     @F.arrow_udf("array<int>")
-    def look_up(lists):
-        import pyarrow as pa
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import pyarrow.compute as pc
 
+        # The table of a task's words is made once, not for every batch.
         known, ids = shipped.value
-        if lists.null_count:
-            lists = pc.coalesce(lists, pa.scalar([], lists.type))
-        flat = lists.flatten()
-        at = pc.index_in(flat, value_set=pa.array(known, flat.type))
-        tokens = pc.fill_null(pa.array(ids, pa.int32()).take(at), unknown)
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(pc.list_value_length(lists))])
-        return pa.ListArray.from_arrays(offsets, tokens)
+        table = dict(zip(reversed(known), reversed(ids)))
+        for lists in batches:
+            if lists.null_count:
+                lists = pc.coalesce(lists, pa.scalar([], lists.type))
+            coded = lists.flatten().dictionary_encode()
+            found = pa.array([table.get(w, unknown) for w in coded.dictionary.to_pylist()], pa.int32())
+            tokens = found.take(coded.indices)
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(pc.list_value_length(lists))])
+            yield pa.ListArray.from_arrays(offsets, tokens)
 
     return listed.withColumn("input_ids", look_up("_words")).drop("_words")
 

@@ -240,9 +240,12 @@ class Evaluation:
 
 
 def evaluate(predictions: DataFrame, vocabulary: DataFrame, key: str = "row_id") -> Evaluation:
-    """All evaluation frames for (key, input_text, true_label, predicted_label) rows."""
+    """All evaluation frames for (key, input_text, true_label, predicted_label) rows.
+
+    Predictions are written once, however many of the frames are read.
+    """
     vocabulary = settle(vocabulary, "vocabulary").df
-    normalized = normalize_predictions(predictions, vocabulary, key)
+    normalized = settle(normalize_predictions(predictions, vocabulary, key), "normalized").df
     pairs = pair_counts(normalized).df
     report = full_report(pairs, vocabulary)
     summary = evaluation_summary(normalized)

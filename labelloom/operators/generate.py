@@ -6,6 +6,8 @@ row by row; nothing but the quota step compares rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +54,9 @@ def generic_fallback(plan: DataFrame, n: int, seed: int = DEFAULT_SEED) -> DataF
         F.lit(before), F.col("category"), F.lit(middle), F.col("category"),
         F.lit(between), F.col("category"), F.lit(after),
     )
-    numbered = plan.filter(F.col("n_templates") == 0).withColumn(
-        "variation", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    # A sequence down to -1 would count backwards.
+    numbered = plan.filter((F.col("n_templates") == 0) & F.lit(n > 0)).withColumn(
+        "variation", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n, 1) - 1).cast("bigint")))
     )
     reference = 1000 + draw(row_key("category", "variation"), "reference", seed) % 9000
     text = F.concat(body, F.format_string(" (Ref: GenericJD%d-%d)", F.col("variation"), reference))
@@ -194,7 +197,21 @@ def numbered_shuffle(rows: DataFrame, key: str, seed: int = DEFAULT_SEED) -> Dat
     return number_rows(rows, [digest(key, "global shuffle", seed), key], "shuffle_position")
 
 
-def generate_raw(
+@dataclass(frozen=True)
+class Generated:
+    """Shuffled raw `rows`, and the translation `statistics` and `errors` of the run that made them."""
+
+    rows: DataFrame
+    statistics: DataFrame
+    errors: DataFrame
+
+
+def generate_raw(*args, **options) -> DataFrame:
+    """The rows of `generate_run`."""
+    return generate_run(*args, **options).rows
+
+
+def generate_run(
     templates: DataFrame,
     categories: DataFrame,
     languages: list[str] | None = None,
@@ -202,24 +219,28 @@ def generate_raw(
     skills: dict[str, list[str]] | None = None,
     translate=None,
     seed: int = DEFAULT_SEED,
-) -> DataFrame:
-    """Shuffled raw rows: text, label, source and target language.
+) -> Generated:
+    """Shuffled raw rows (text, label, source and target language) and what became of the translations.
+
+    Translated rows are written once before they are sorted or counted, so a client is
+    called once per foreign row.
 
     `translate` maps a frame of (row_key, text, target_language, ...) rows to the same
     frame with `text` translated or marked; without it foreign rows are marked as
     having no client.
     """
-    from labelloom.operators.translate import mark_failures, no_client
+    from labelloom.operators.translate import error_histogram, mark_failures, no_client, translation_stats
 
     spark = templates.sparkSession
     skill_lists = skill_frame(spark, V.SKILLS if skills is None else skills)
     base = settle(base_texts(templates, categories, skill_lists, n, seed), "base-texts").df
     rows = language_rows(base, languages or V.LANGUAGES)
     rows = rows.withColumn("row_key", row_key("text_key", "target_language"))
-    translated = (translate or no_client)(rows)
-    return global_shuffle(mark_failures(translated), "row_key", seed).select(
+    translated = settle((translate or no_client)(rows), "translated").df
+    shuffled = global_shuffle(mark_failures(translated), "row_key", seed).select(
         F.col("text").alias(TEXT_COLUMN),
         F.col("category").alias(LABEL_COLUMN),
         "source_language",
         "target_language",
     )
+    return Generated(shuffled, translation_stats(translated), error_histogram(translated))

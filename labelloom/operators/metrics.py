@@ -122,3 +122,8 @@ def run_metrics(metrics: DataFrame, run_id: str, stage: str) -> DataFrame:
         F.col("value").cast("double").alias("value"),
         step.alias("step"),
     )
+
+
+def run_params(params: DataFrame, run_id: str) -> DataFrame:
+    """(key, value) rows in the layout of the parameter table."""
+    return params.select(F.lit(run_id).alias("run_id"), "key", F.col("value").cast("string").alias("value"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED
 from labelloom.functions.text import build_prompt, clean_text, coerce_text
-from labelloom.operators.split import cap_splits, check_strata, split_rows, train_vocabulary
+from labelloom.operators.split import cap_cuts, check_strata, split_cuts, train_vocabulary
 from labelloom.plans.ordering import with_row_id
 from labelloom.plans.shared import settle
 from labelloom.schemas import LABEL_COLUMN, TEXT_COLUMN
@@ -102,17 +102,23 @@ def prepare(
 ) -> Prepared:
     """Check, split, cap and format raw rows; collect the training vocabulary.
 
-    Without `key`, rows are numbered first.
+    Without `key`, rows are numbered first. The source is read twice: once for a narrow table of
+    keys and labels, from which split, cap and vocabulary are decided, once for the texts.
     """
     check_columns(df, text_col, label_col)
     if key is None:
         df, key = with_row_id(df), "row_id"
-    check_strata(df, label_col, test)
-    parts = split_rows(df, label_col, key, test, val, group_key=group_key, seed=seed)
-    capped = cap_splits(parts, key, cap, seed)
+    names = list(dict.fromkeys([key, label_col, *([group_key] if group_key else [])]))
+    narrow = settle(df.select(*names), "labels").df
+    check_strata(narrow, label_col, test, val, group_key)
+    splits = split_cuts(narrow, label_col, key, test, val, group_key=group_key, seed=seed)
+    marked, parts = splits.mark(narrow), splits.mark(df)
+    if cap:
+        caps = cap_cuts(marked, key, cap, seed)
+        marked, parts = caps.keep(marked), caps.keep(parts)
     # `to_messages` builds exactly two messages, so there is nothing for `filter_valid` to drop here.
-    conversations = project_messages(to_messages(capped, text_col, label_col), key, "split")
-    return Prepared(conversations, train_vocabulary(capped, label_col))
+    conversations = project_messages(to_messages(parts, text_col, label_col), key, "split")
+    return Prepared(conversations, train_vocabulary(marked, label_col))
 
 
 def settle_prepared(prepared: Prepared) -> Prepared:
@@ -120,3 +126,12 @@ def settle_prepared(prepared: Prepared) -> Prepared:
     return Prepared(
         settle(prepared.conversations, "conversations").df, settle(prepared.vocabulary, "vocabulary").df
     )
+
+
+def preparation_metrics(prepared: Prepared) -> DataFrame:
+    """(key, value) rows: samples per split, and `num_unique_categories` of the training part."""
+    sizes = prepared.conversations.groupBy(F.concat("split", F.lit("_sample_count")).alias("key")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")
+    )
+    labels = prepared.vocabulary.agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return sizes.unionByName(labels.withColumn("key", F.lit("num_unique_categories")))

@@ -6,6 +6,7 @@ because how many rows are still needed depends on what earlier calls returned.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.functions import fixed_values as V
-from labelloom.functions.hashing import row_key
+from labelloom.functions.hashing import DEFAULT_SEED, row_key
 from labelloom.functions.text import strip
+from labelloom.operators.generate import global_shuffle
 from labelloom.plans.joins import lookup_join
 from labelloom.plans.ordering import first_n_per_group
 from labelloom.plans.shared import Settled, settle
@@ -67,10 +69,9 @@ def render_prompt(category: Column, language: Column, n: Column) -> Column:
     """Generation prompt inside the instruct wrapper."""
     template = V.REQUEST_WRAPPER.replace("{prompt}", V.REQUEST_PROMPT)
     values = {"{category}": category, "{language}": language, "{n}": n.cast("string")}
-    filled = F.lit(template)
-    for slot, value in values.items():
-        filled = F.replace(filled, F.lit(slot), value)
-    return filled
+    # Cut once, so a value that looks like a slot stays as it is.
+    pieces = re.split("(" + "|".join(map(re.escape, values)) + ")", template)
+    return F.concat(*[values[p] if p in values else F.lit(p) for p in pieces])
 
 
 def request_body(prompt: Column, n: Column) -> Column:
@@ -163,8 +164,9 @@ def generate_from_model(
     languages: dict[str, str] | None = None,
     n: int = V.RESPONSE_ROWS_PER_LANGUAGE,
     k: int = V.ROWS_PER_REQUEST,
+    seed: int = DEFAULT_SEED,
 ) -> DataFrame:
-    """Raw rows (text, label) made by a model, up to `n` per combination.
+    """Raw rows (text, label) made by a model, up to `n` per combination, in one seeded random order.
 
     Each round asks for what is missing, writes the answers and counts again; there
     are at most `n // k + 3` rounds, and one when every answer is full.
@@ -191,4 +193,7 @@ def generate_from_model(
         ).limit(0)
     rows = union_raw(*rounds).select(*COMBINATION, "attempt", F.posexplode("texts").alias("pos", "text"))
     kept = quota_cap(rows, COMBINATION, ["attempt", "pos"], n)
-    return kept.select(F.col("text").alias(TEXT_COLUMN), F.col("category").alias(LABEL_COLUMN), "language")
+    named = kept.withColumn("_key", row_key(*COMBINATION, "attempt", "pos"))
+    return global_shuffle(named, "_key", seed).select(
+        F.col("text").alias(TEXT_COLUMN), F.col("category").alias(LABEL_COLUMN), "language"
+    )

@@ -30,9 +30,11 @@ def train_classifier(
     """Fit hashed word weights and a classifier; predictions come as `predicted_label`.
 
     Label indices follow the sorted vocabulary. The model holds labels x features
-    weights, so it grows with the vocabulary, not with the rows.
+    weights, so it grows with the vocabulary, not with the rows. Rows without a label are
+    not learned from.
     """
-    labels = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep")
+    train = train.filter(F.col(label_col).isNotNull())
+    labels = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc")
     indexer = labels.fit(train)
     tokenizer = RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=V.NARROW_SPACE + "+")
     hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
@@ -40,7 +42,8 @@ def train_classifier(
     columns = {"featuresCol": "_features", "labelCol": "_label", "predictionCol": "_prediction"}
     classifier = LogisticRegression(**columns, maxIter=20) if logistic else NaiveBayes(**columns)
     names = IndexToString(inputCol="_prediction", outputCol="predicted_label", labels=indexer.labels)
-    return Pipeline(stages=[indexer, tokenizer, hashing, weighting, classifier, names]).fit(train)
+    # Labels are indexed for the fit only: rows to classify need none.
+    return Pipeline(stages=[tokenizer, hashing, weighting, classifier, names]).fit(indexer.transform(train))
 
 
 def classify(model: PipelineModel, df: DataFrame) -> DataFrame:

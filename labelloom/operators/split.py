@@ -8,14 +8,16 @@ a join to one small row per class; row texts are not shuffled.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED, digest
 from labelloom.plans.joins import lookup_join
-from labelloom.plans.ordering import at_or_before, keep_first, number_rows, permutation_cuts, rank_index
-from labelloom.plans.shared import settle
+from labelloom.plans.ordering import FirstCuts, at_or_before, first_cuts, number_rows, permutation_cuts, rank_index
+from labelloom.plans.shared import Settled, settle
 
 SALT = "split"
 
@@ -74,23 +76,52 @@ def split_rows(
     `key` is unique per row. With `group_key`, all rows of a (label, group) stay
     together and quotas count groups.
     """
-    unit = group_key or key
+    return split_cuts(df, label, key, test, val, group_key, stratify, seed).mark(df)
+
+
+@dataclass(frozen=True)
+class SplitCuts:
+    """Where the parts of each class end in digest order; `mark` applies it to any rows of those classes."""
+
+    label: str
+    unit: str
+    stratify: bool
+    seed: int
+    cuts: Settled
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        joined = lookup_join(_tagged(df, self.label, self.unit, self.stratify, self.seed), self.cuts, ["_stratum"], [self.unit], null_safe=True)
+        part = (
+            F.when(at_or_before("_digest", "_tie", "_test_digest", "_test_tie"), "test")
+            .when(at_or_before("_digest", "_tie", "_validation_digest", "_validation_tie"), "validation")
+            .otherwise("train")
+        )
+        return joined.select(*[F.col(f"`{c}`") for c in df.columns], part.alias("split"))
+
+
+def _tagged(df: DataFrame, label: str, unit: str, stratify: bool, seed: int) -> DataFrame:
     stratum = F.col(label).cast("string") if stratify else F.lit("all")
-    tagged = df.withColumns({"_stratum": stratum, "_digest": digest(unit, SALT, seed), "_tie": F.col(unit)})
-    units = tagged.select("_stratum", "_digest", "_tie")
-    if group_key:
-        units = settle(units.distinct(), "split-groups").df
+    return df.withColumns({"_stratum": stratum, "_digest": digest(unit, SALT, seed), "_tie": F.col(unit)})
+
+
+def split_cuts(
+    df: DataFrame,
+    label: str,
+    key: str,
+    test: float = V.TEST_FRACTION,
+    val: float = V.VALIDATION_FRACTION,
+    group_key: str | None = None,
+    stratify: bool = True,
+    seed: int = DEFAULT_SEED,
+) -> SplitCuts:
+    """Cuts from one narrow pass over `df`."""
+    unit = group_key or key
+    units = _tagged(df, label, unit, stratify, seed).select("_stratum", "_digest", "_tie")
+    units = settle(units.distinct() if group_key else units, "split-units").df
     index = rank_index(units, ["_stratum"])
     quotas = class_quotas(index.totals.df, "_stratum", test, val)
     ranks = {"test": F.col("n_test"), "validation": F.col("n_test") + F.col("n_validation")}
-    cuts = permutation_cuts(index, quotas, ranks)
-    joined = lookup_join(tagged, cuts, ["_stratum"], [unit], null_safe=True)
-    part = (
-        F.when(at_or_before("_digest", "_tie", "_test_digest", "_test_tie"), "test")
-        .when(at_or_before("_digest", "_tie", "_validation_digest", "_validation_tie"), "validation")
-        .otherwise("train")
-    )
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], part.alias("split"))
+    return SplitCuts(label, unit, stratify, seed, permutation_cuts(index, quotas, ranks))
 
 
 def hold_out(df: DataFrame, label: str, key: str, fraction: float = V.TEST_FRACTION, **options) -> DataFrame:
@@ -98,34 +129,72 @@ def hold_out(df: DataFrame, label: str, key: str, fraction: float = V.TEST_FRACT
     return split_rows(df, label, key, test=fraction, val=0.0, **options)
 
 
-def strata_report(df: DataFrame, label: str, test: float = V.TEST_FRACTION) -> DataFrame:
-    """One row: class count, smallest class, part sizes and whether stratifying is possible."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = counts.agg(
-        F.count(F.lit(1)).alias("n_classes"), F.min("_n").alias("smallest"), F.sum("_n").alias("n_rows")
+def strata_report(
+    df: DataFrame,
+    label: str,
+    test: float = V.TEST_FRACTION,
+    val: float = V.VALIDATION_FRACTION,
+    group_key: str | None = None,
+) -> DataFrame:
+    """One row on whether both hold-outs can be stratified, counted in rows or groups.
+
+    First the test part is held out of all, then the validation part of what is left:
+    either time every class needs two members, and both sides a member per class.
+    """
+    units = df.select(label, group_key).distinct() if group_key else df
+    counts = settle(units.groupBy(F.col(label).alias("_stratum")).agg(F.count(F.lit(1)).alias("_n")), "strata").df
+    kept = F.col("n") - F.col("n_test")
+    sizes = class_quotas(counts, "_stratum", test, val).agg(
+        F.count(F.lit(1)).alias("n_classes"),
+        F.min("n").alias("smallest"),
+        F.sum("n").alias("n_rows"),
+        F.sum("n_test").alias("n_test"),
+        F.sum(kept).alias("n_train"),
+        F.count_if(kept > 0).alias("n_classes_left"),
+        F.min(F.when(kept > 0, kept)).alias("smallest_left"),
+        F.sum("n_validation").alias("n_validation"),
     )
-    held = F.ceil(F.lit(float(test)) * F.col("n_rows")).cast("bigint")
-    parts = sizes.withColumn("n_test", held).withColumn("n_train", F.col("n_rows") - F.col("n_test"))
-    possible = (
-        (F.col("n_classes") <= 1)
-        | ((F.col("smallest") >= 2) & (F.least("n_test", "n_train") >= F.col("n_classes")))
+    first = _divides("n_classes", "smallest", F.col("n_test"), F.col("n_train"))
+    second = F.lit(not val) | _divides(
+        "n_classes_left", "smallest_left", F.col("n_validation"), F.col("n_train") - F.col("n_validation")
     )
-    return parts.withColumn("can_stratify", F.coalesce(possible, F.lit(False)))
+    return sizes.withColumns(
+        {"can_stratify_test": F.coalesce(first, F.lit(False)), "can_stratify_validation": F.coalesce(second, F.lit(False))}
+    )
+
 
+def _divides(classes: str, smallest: str, held: Column, left: Column) -> Column:
+    return (F.col(classes) <= 1) | ((F.col(smallest) >= 2) & (F.least(held, left) >= F.col(classes)))
 
-def check_strata(df: DataFrame, label: str, test: float = V.TEST_FRACTION) -> None:
-    """Raise when a class has a single row or a part is smaller than the class count."""
-    row = strata_report(df, label, test).first()
-    if not row["can_stratify"]:
+
+def check_strata(
+    df: DataFrame,
+    label: str,
+    test: float = V.TEST_FRACTION,
+    val: float = V.VALIDATION_FRACTION,
+    group_key: str | None = None,
+) -> None:
+    """Raise when either hold-out meets a class of one or a part smaller than the class count."""
+    row = strata_report(df, label, test, val, group_key).first()
+    if not row["can_stratify_test"]:
         raise ValueError(
             f"cannot stratify by '{label}': {row['n_classes']} classes, smallest has {row['smallest']} rows, "
             f"parts hold {row['n_train']} and {row['n_test']} rows"
         )
+    if not row["can_stratify_validation"]:
+        raise ValueError(
+            f"cannot stratify the validation part by '{label}': {row['n_classes_left']} classes, smallest has "
+            f"{row['smallest_left']} rows left, the part holds {row['n_validation']} of {row['n_train']} rows"
+        )
 
 
 def cap_splits(df: DataFrame, key: str, n: int | None, seed: int = DEFAULT_SEED) -> DataFrame:
     """First `n` rows of every split in the split's permutation order; no cap for None or 0."""
-    return keep_first(df, ["split"], n, key, SALT, seed) if n else df
+    return cap_cuts(df, key, n, seed).keep(df) if n else df
+
+
+def cap_cuts(df: DataFrame, key: str, n: int, seed: int = DEFAULT_SEED) -> FirstCuts:
+    return first_cuts(df, ["split"], n, key, SALT, seed)
 
 
 def split_order(key: str, seed: int = DEFAULT_SEED) -> list[Column]:

@@ -28,7 +28,7 @@ def number_rows(df: DataFrame, order: list[Column | str] | None = None, name: st
     table = settle(ordered, "numbered").df
     placed = table.select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        file_order(F.col("_metadata.file_name")).alias("_file"),
         F.col("_metadata.row_index").alias("_at"),
     )
     files = placed.groupBy("_file").agg(F.max("_at").alias("_last"))
@@ -45,6 +45,12 @@ def number_rows(df: DataFrame, order: list[Column | str] | None = None, name: st
     )
 
 
+def file_order(name: Column) -> Column:
+    """(task, file of the task) of a written part file, as numbers: names stop sorting as text at 100,000 tasks."""
+    task = F.regexp_extract(name, r"^part-(\d+)", 1).cast("bigint")
+    return F.struct(task.alias("task"), F.regexp_extract(name, r"-c(\d+)", 1).cast("bigint").alias("part"))
+
+
 def first_n_per_group(
     df: DataFrame,
     group: list[str],
@@ -156,15 +162,37 @@ def keep_first(
 
     `key` must be unique within a group.
     """
+    return first_cuts(df, by, n, key, salt, seed).keep(df)
+
+
+@dataclass(frozen=True)
+class FirstCuts:
+    """Where the first `n` rows of each group end in digest order; `keep` applies it to any rows of those groups."""
+
+    by: list[str]
+    n: int
+    key: str
+    salt: str
+    seed: int
+    cuts: Settled | None
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        if self.cuts is None:
+            return df.limit(0)
+        tagged = df.withColumns({"_digest": digest(self.key, self.salt, self.seed), "_tie": F.col(self.key)})
+        joined = lookup_join(tagged, self.cuts, self.by, [self.key], null_safe=True)
+        # A group without a cut has fewer than `n` rows: all of them stay.
+        inside = at_or_before("_digest", "_tie", "_keep_digest", "_keep_tie")
+        return joined.filter(F.col("_keep_digest").isNull() | inside).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def first_cuts(df: DataFrame, by: list[str], n: int, key: str, salt: str, seed: int) -> FirstCuts:
+    """Cuts from one narrow pass over `df`."""
+    if n < 1:
+        return FirstCuts(by, n, key, salt, seed, None)
     tagged = df.withColumns({"_digest": digest(key, salt, seed), "_tie": F.col(key)})
-    units = tagged.select(*by, "_digest", "_tie")
-    index = rank_index(units, by)
-    cuts = permutation_cuts(index, index.totals.df, {"keep": F.lit(n)})
-    joined = lookup_join(tagged, cuts, by, [key], null_safe=True)
-    # A group without a cut has fewer than `n` rows: all of them stay.
-    return joined.filter(
-        F.col("_keep_digest").isNull() | at_or_before("_digest", "_tie", "_keep_digest", "_keep_tie")
-    ).select(*[F.col(f"`{c}`") for c in df.columns])
+    index = rank_index(settle(tagged.select(*by, "_digest", "_tie"), "units").df, by)
+    return FirstCuts(by, n, key, salt, seed, permutation_cuts(index, index.totals.df, {"keep": F.lit(n)}))
 
 
 def at_or_before(digest_col: str, tie_col: str, cut_digest: str, cut_tie: str) -> Column:
@@ -174,5 +202,9 @@ def at_or_before(digest_col: str, tie_col: str, cut_digest: str, cut_tie: str) -
 
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Give rows that carry no key a stable id (stored order)."""
-    return number_rows(df, None, name)
+    """Give rows that carry no key an id: their place in the order of a digest of their content.
+
+    It depends on the rows alone, not on how files were split; equal rows may swap ids.
+    """
+    content = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return number_rows(df.withColumn("_content", content), ["_content"], name).drop("_content")

@@ -64,13 +64,10 @@ def measure(df: DataFrame) -> Settled:
     return Settled(df, int(row["n"]), int(row["b"]))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when the input comes in fewer splits than there are cores.
-
-    Large inputs have many more splits and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def clear_settled(spark: SparkSession) -> None:
+    """Delete what this application has settled; frames that read it can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -80,6 +77,13 @@ def row_bytes(df: DataFrame) -> Column:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
             width = F.coalesce(F.octet_length(col), F.lit(0)) + 16
+        elif isinstance(field.dataType, T.BinaryType):
+            width = F.coalesce(F.octet_length(col), F.lit(0)) + 16
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+            width = F.aggregate(col, F.lit(32), lambda s, x: s + F.coalesce(F.octet_length(x), F.lit(0)) + 16)
+            width = F.coalesce(width, F.lit(32))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            width = 32 + 8 * F.coalesce(F.size(col), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             width = F.coalesce(F.octet_length(F.to_json(col)), F.lit(0)) + 32
         else:

@@ -10,8 +10,14 @@ from pyspark.sql import types as T
 from labelloom.schemas import TEMPLATES
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    return _reader(spark, schema).json(path)
+FAIL = "FAILFAST"
+
+
+def read_jsonl(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, mode: str = FAIL
+) -> DataFrame:
+    """One object per line. A malformed line fails the read; `mode="PERMISSIVE"` keeps what can be read."""
+    return _reader(spark, schema).option("mode", mode).json(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
@@ -24,26 +30,54 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return _reader(spark, schema).options(**{k: v for k, v in options.items() if v is not None}).csv(path)
 
 
-def read_json_document(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Files that each hold one JSON array of records."""
-    return _reader(spark, schema).option("multiLine", True).json(path)
-
+def read_json_document(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, mode: str = FAIL
+) -> DataFrame:
+    """Files that each hold one JSON array of records, or one object."""
+    return _reader(spark, schema).options(multiLine=True, mode=mode).json(path)
 
-def read_any_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON lines, or a whole document when the content opens with a bracket."""
-    opening = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
-    is_document = bool(opening) and opening[0]["value"].lstrip().startswith("[")
-    return (read_json_document if is_document else read_jsonl)(spark, path, schema)
 
+def read_any_json(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, mode: str = FAIL
+) -> DataFrame:
+    """JSON lines and whole documents, told apart file by file.
 
-def load_raw(spark: SparkSession, identifier: str, schema: T.StructType | None = None) -> DataFrame:
-    """Load by suffix: `.jsonl`, `.csv`, other JSON; a name that is no path is taken as a catalog table."""
+    A file is read by lines if every line that is not blank opens an object and goes on;
+    any other (an array, a printed object over several lines) is one document. All lines are looked at, so
+    name the format (`.jsonl`, `read_json_document`) where it is known.
+    """
+    line = F.trim("value")
+    looked = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter(line != "")
+    by_line = F.min(F.startswith(line, F.lit("{")) & (F.length(line) > 1)).alias("by_line")
+    # One row per file.
+    kinds = {r["file"]: r["by_line"] for r in looked.groupBy("file").agg(by_line).collect()}
+    lines = sorted(f for f, k in kinds.items() if k)
+    documents = sorted(f for f, k in kinds.items() if not k)
+    if not documents:
+        return read_jsonl(spark, path, schema, mode)
+    if not lines:
+        return read_json_document(spark, documents, schema, mode)
+    parts = read_jsonl(spark, lines, schema, mode), read_json_document(spark, documents, schema, mode)
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def load_raw(
+    spark: SparkSession,
+    identifier: str,
+    schema: T.StructType | None = None,
+    multiline: bool = True,
+    mode: str = FAIL,
+) -> DataFrame:
+    """Load by suffix: `.jsonl`, `.csv`, other JSON; a name that is no path is taken as a catalog table.
+
+    Give JSON a schema (such as `RAW_ROWS`) to save the pass that infers one.
+    """
     try:
         if identifier.endswith(".jsonl"):
-            return read_jsonl(spark, identifier, schema)
+            return read_jsonl(spark, identifier, schema, mode)
         if identifier.endswith(".csv"):
-            return read_csv(spark, identifier, schema)
-        return read_any_json(spark, identifier, schema)
+            return read_csv(spark, identifier, schema, multiline)
+        return read_any_json(spark, identifier, schema, mode)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

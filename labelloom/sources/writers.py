@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.operators.metrics import run_metrics
+from labelloom.operators.metrics import run_metrics, run_params
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -44,3 +44,9 @@ def write_run_metrics(metrics: DataFrame, path: str, run_id: str, stage: str) ->
     """Append (key, value) rows to the parquet run table; a repeated stage replaces its own rows."""
     rows = run_metrics(metrics, run_id, stage)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "stage").parquet(path)
+
+
+def write_run_params(params: DataFrame, path: str, run_id: str) -> None:
+    """Write (key, value) rows to the parquet parameter table; a repeated run replaces its own rows."""
+    rows = run_params(params, run_id)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
