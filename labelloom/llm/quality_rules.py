@@ -50,9 +50,9 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.regexp_count("_text", F.lit(r"!!|\?\?")).cast("bigint").alias("n_shouts"),
         F.regexp_count("_text", F.lit(r"[.!?](?=[\x20\x09-\x0D])|[.!?]\z")).cast("bigint").alias("n_ends"),
-        F.regexp_count("_text", F.lit(r"\p{Lu}{3,}")).cast("bigint").alias("n_capitals"),
-        F.regexp_count("_text", F.lit(r"([^\p{L}\p{N}\x20\x09-\x0D.])\1+")).cast("bigint").alias("n_sign_runs"),
-        F.regexp_count("_text", F.lit(r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])")).cast("bigint").alias("n_bare_signs"),
+        F.regexp_count("_text", F.lit(r"[A-Z\xC0-\xD6\xD8-\xDE]{3,}")).cast("bigint").alias("n_capitals"),
+        F.regexp_count("_text", F.lit(r"([!-\-/:-@\[-`{-~])\1+")).cast("bigint").alias("n_sign_runs"),
+        F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D][!-/:-@\[-`{-~]+(?=[\x20\x09-\x0D]|\z)")).cast("bigint").alias("n_bare_signs"),
         lines.alias("_lines"),
         F.size(F.array_distinct("_words")).cast("bigint").alias("n_distinct"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"),
