@@ -1,17 +1,17 @@
 """Embedding near-duplicates through an inverted multi-index.
 
 Unit vectors are cut in two halves, each with its own codebook; a pair of codewords is a
-cell of the product grid. Every vector is filed in its nearest cell. To find its neighbours, a vector visits
-cells in the order of the summed half distances (the multi-sequence order), stopping
-after the number of cells that reaches the target recall, and leaving out cells that
-cannot hold a neighbour by the triangle inequality. What meets in a cell of the same label is
-verified by cosine in double precision.
+cell of the product grid. Every vector is filed in its nearest cell. To find its neighbours, a vector
+visits every cell that can hold one: in each half, a member lies no farther from its codeword than the
+farthest member does, and on the codeword's side of the plane halfway to any other. No cell is left
+out for its rank, so no link is lost, and no order of visits is needed. What meets in a cell of the
+same label is verified by cosine in double precision.
 
-The number of visits is calibrated: a bounded sample of vectors is compared with all
-vectors by brute force, and the rank of each neighbour's cell in the visiting order is
-counted. Codebooks are fitted on a bounded sample; every vector is indexed.
+Runs of cells that hold about `BLOCK_ROWS` vectors of a label are visited as one group, with one
+copy of the visitor. Of two groups that can hold neighbours of each other, one visits the other.
+Codebooks are fitted on a bounded sample; every vector is indexed.
 
-Equal vectors of a label are one node. Large cells are cut into blocks, and visitors go to
+Equal vectors of a label are one node. Large groups are cut into blocks, and visitors go to
 each block, so a task holds one block of vectors and streams the visitors past it.
 
 Vectors that are null, zero, or hold a null or non-finite component, and rows without a
@@ -35,14 +35,14 @@ from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import settle
 
 MIN_COSINE = 0.93
-TARGET_RECALL = 0.99
-LEAST_VISITS = 8
 FIT_ROWS = 20_000
-PROBE_ROWS = 500
 CELL_ROWS = 32
 MAX_CODEWORDS = 512
 BLOCK_ROWS = 4096
 LLOYD_ROUNDS = 12
+# Rounding of distances; a cell within it of being possible is visited.
+SLACK = 1e-7
+GRID_CELLS_AT_ONCE = 2**22
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -80,15 +80,32 @@ def distances(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ words.T + (words**2).sum(1)[None, :], 0)
 
 
+def along(words: np.ndarray) -> np.ndarray:
+    """Codewords in their order along the axis on which they differ most, so that near ones are often side by side."""
+    axis = np.linalg.svd(words - words.mean(0), full_matrices=False)[2][0]
+    return words[np.argsort(words @ axis, kind="stable")]
+
+
+def least_distances(near: np.ndarray, words: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Squared distance from each row to the nearest place where a member of each codeword can lie, or less.
+
+    `near` has the squared distances of rows to codewords.
+    """
+    own = near.argmin(1)
+    gap = np.sqrt(distances(words, words))[own]
+    plane = np.where(gap > 1e-6, (near - near.min(1)[:, None]) / (2 * np.maximum(gap, 1e-6)), 0)
+    return np.maximum(np.sqrt(near) - reach, np.maximum(plane, 0)) ** 2
+
+
 @dataclass(frozen=True)
 class Grid:
-    """Codebooks of both halves, the largest distance of a member to each codeword, and the visits."""
+    """Codebooks of both halves, the largest distance of a member to each codeword, and the cells of a group."""
 
     first: np.ndarray
     second: np.ndarray
     reach_first: np.ndarray
     reach_second: np.ndarray
-    visits: int
+    per_group: int
 
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cut = self.first.shape[1]
@@ -98,35 +115,32 @@ class Grid:
         a, b = self.halves(x)
         return a.argmin(1) * len(self.second) + b.argmin(1)
 
-    def order(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All cells of each row from near to far, and which of them could hold a neighbour."""
+    def possible(self, x: np.ndarray) -> np.ndarray:
+        """Which groups of cells could hold a neighbour of each row."""
         a, b = self.halves(x)
-        total = (a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
-        low_a = np.maximum(np.sqrt(a) - self.reach_first, 0) ** 2
-        low_b = np.maximum(np.sqrt(b) - self.reach_second, 0) ** 2
-        possible = (low_a[:, :, None] + low_b[:, None, :]).reshape(len(x), -1) <= 2 - 2 * MIN_COSINE + 1e-9
-        order = total.argsort(1, kind="stable")
-        return order, np.take_along_axis(possible, order, 1)
-
-
-def fit_grid(nodes: DataFrame, rows: int, labels: int, target: float = TARGET_RECALL) -> Grid | None:
-    """Codebooks, reaches over all nodes, and calibrated visits; None without nodes."""
+        low_a, low_b = least_distances(a, self.first, self.reach_first), least_distances(b, self.second, self.reach_second)
+        cells = len(self.first) * len(self.second)
+        step, parts = max(1, GRID_CELLS_AT_ONCE // cells), []
+        for at in range(0, len(x), step):
+            low = low_a[at : at + step, :, None] + low_b[at : at + step, None, :]
+            held = low.reshape(len(low), -1) <= 2 - 2 * MIN_COSINE + SLACK
+            parts.append(np.logical_or.reduceat(held, np.arange(0, cells, self.per_group), axis=1))
+        return np.concatenate(parts)
+
+
+def fit_grid(nodes: DataFrame, rows: int, labels: int) -> Grid | None:
+    """Codebooks, and reaches over all nodes; None without nodes."""
     sample = nodes.orderBy(digest("node", "fit"), "node").limit(FIT_ROWS).select("vector").toPandas()["vector"]
     if not len(sample):
         return None
     x = unit(sample.tolist())
     cut = max(1, x.shape[1] // 2)
     k = min(MAX_CODEWORDS, max(2, math.ceil(math.sqrt(rows / (CELL_ROWS * max(labels, 1))))))
-    first, second = lloyd(x[:, :cut], k), lloyd(x[:, cut:], k)
-    grid = Grid(first, second, np.zeros(len(first)), np.zeros(len(second)), 0)
-    far = _reaches(nodes, grid)
-    grid = Grid(first, second, far[: len(first)], far[len(first) :], 0)
-    few = nodes.orderBy(digest("node", "probe"), "node").limit(PROBE_ROWS).toPandas()
-    ranks = _neighbour_ranks(nodes, grid, unit(few["vector"].tolist()), few["label"].to_numpy(), few["node"].to_numpy())
-    seen = np.cumsum(ranks)
-    # Twice what the sample needed: other neighbours may lie farther out than the sample's.
-    visits = max(LEAST_VISITS, 2 * (int(np.searchsorted(seen, target * seen[-1])) + 1)) if seen[-1] else len(ranks)
-    return Grid(first, second, grid.reach_first, grid.reach_second, visits)
+    first, second = along(lloyd(x[:, :cut], k)), along(lloyd(x[:, cut:], k))
+    far = _reaches(nodes, Grid(first, second, np.zeros(len(first)), np.zeros(len(second)), 1))
+    cells = len(first) * len(second)
+    per_group = min(cells, max(1, round(BLOCK_ROWS * cells * max(labels, 1) / rows)))
+    return Grid(first, second, far[: len(first)], far[len(first) :], per_group)
 
 
 def _reaches(nodes: DataFrame, grid: Grid) -> np.ndarray:
@@ -154,48 +168,22 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             yield unit(batch.slice(at, 1024).column(0).to_pylist())
 
 
-def _neighbour_ranks(nodes: DataFrame, grid: Grid, probes: np.ndarray, labels: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """How many true neighbours of the probes lie in the cell of each visiting rank."""
-    cells = len(grid.first) * len(grid.second)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, possible = grid.order(probes)
-        # A cell that cannot hold a neighbour takes no visit.
-        place = np.where(possible, possible.cumsum(1) - 1, cells - 1)
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, place, 1)
-        found = np.zeros(cells, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                x, own = unit(part.column(0).to_pylist()), np.array(part.column(1).to_pylist())
-                name = np.array(part.column(2).to_pylist())
-                hit = (probes @ x.T >= MIN_COSINE) & (labels[:, None] == own[None, :]) & (names[:, None] != name[None, :])
-                q, r = np.nonzero(hit)
-                np.add.at(found, rank[q, grid.own(x)[r]] if len(q) else np.array([], int), 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells)), pa.array(found)], ["rank", "n"])
-
-    rows = nodes.select("vector", "label", "node").mapInArrow(work, "rank bigint, n bigint").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(cells, np.int64)
-    for r in rows:
-        out[r["rank"]] = r["n"]
-    return out
-
-
 def visit_cells(nodes: DataFrame, grid: Grid) -> DataFrame:
-    """(label, cell, own, node, vector): each node in its own cell and in those it visits."""
+    """(label, cell, own, node, vector): each node in its own group of cells and in those it visits."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 x = unit(part.column(2).to_pylist())
-                order, possible = grid.order(x)
-                chosen = possible & (possible.cumsum(1) <= grid.visits)
-                row, place = np.nonzero(chosen)
+                home, chosen = grid.own(x) // grid.per_group, grid.possible(x)
+                # Either of two groups sees the other's members as possible, so one of them visits, by turns.
+                here, there = home[:, None], np.arange(chosen.shape[1])[None, :]
+                chosen &= np.where((here + there) % 2 == 0, here <= there, here > there)
+                row, group = np.nonzero(chosen)
                 own_row = np.arange(len(x))
                 rows = np.r_[own_row, row]
-                cells = np.r_[grid.own(x), order[row, place]]
+                cells = np.r_[home, group]
                 own = np.r_[np.ones(len(x), bool), np.zeros(len(row), bool)]
                 for a in range(0, len(rows), 8192):
                     taken = part.take(pa.array(rows[a : a + 8192]))

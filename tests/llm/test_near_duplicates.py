@@ -160,6 +160,51 @@ def test_blocks_of_a_large_cell(spark, monkeypatch):
     assert got >= 0.97 * sum(n for n, _ in brute(rows).values())
 
 
+@pytest.mark.parametrize("block", [vectors.BLOCK_ROWS, 64])
+def test_small_groups_beside_a_large_one(spark, block, monkeypatch):
+    """Pairs near the least cosine on a grid of about 54 x 54 cells, beside a group with nearly all links."""
+    monkeypatch.setattr(vectors, "CELL_ROWS", 0.5)
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(5)
+
+    def beside(v, cosine):
+        other = rng.normal(size=len(v))
+        other -= other @ v * v
+        return cosine * v + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+    base = rng.normal(size=(1201, 12))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    found = [beside(base[0], 0.99999) for _ in range(200)] + list(base[1:])
+    found += [beside(v, 0.932) for v in base[1:41]]
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(found)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
+    x = vectors.unit(found)
+    want = (x @ x.T >= vectors.MIN_COSINE).sum(1) - 1
+    assert want[1400:].min() >= 1 and want[:200].sum() > 0.99 * want.sum()
+    assert [got[i].n_links for i in range(len(found))] == want.tolist()
+
+
+def test_possible_cells_hold_every_neighbour():
+    """Clusters on a 12 x 12 grid: most cells are left out, none of them with a neighbour."""
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(12, 8))
+    x = vectors.unit(middles[rng.integers(0, 12, 1500)] + 0.12 * rng.normal(size=(1500, 8)))
+    first, second = vectors.lloyd(x[:, :4], 12), vectors.lloyd(x[:, 4:], 12)
+    plain = vectors.Grid(first, second, np.zeros(12), np.zeros(12), 1)
+    a, b = plain.halves(x)
+    reach = []
+    for near in (a, b):
+        far = np.zeros(12)
+        np.maximum.at(far, near.argmin(1), np.sqrt(near.min(1)))
+        reach.append(far)
+    grid = vectors.Grid(first, second, *reach, 1)
+    possible = grid.possible(x)
+    assert possible.mean() < 0.5
+    q, r = np.nonzero(x @ x.T >= vectors.MIN_COSINE)
+    assert possible[q, grid.own(x)[r]].all()
+
+
 def test_awkward_vectors(spark):
     rows = [
         (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1),
