@@ -5,11 +5,13 @@ part file that Spark commits is a whole archive; a lost task leaves none behind.
 of `MIN_REVISIT` bytes or more that occur again are written once, as the response of
 the largest page id; the others are revisits that refer to it.
 
-The reader takes whole files (`binaryFile`), plain or with a gzip member per record. Every
-record is checked: version line, headers, length, the end mark, and the payload's
-digest. When a check fails it looks for the next place that starts a valid member or a valid
+The reader takes whole files (`binaryFile`), plain or in gzip members of any number of records. Every
+record is checked: version line, headers of any length, length, the end mark, and the payload's
+digest (hexadecimal or base32). When a check fails it looks for the next place that starts a valid member or a valid
 version line, goes on there, and reports the bytes in between as a gap with the reason. Truncated
-last records are gaps too. No payload is kept beyond its own record.
+last records are gaps too. Within a member the same holds for its unpacked bytes, up to where a damaged
+or truncated member can be unpacked; such records and gaps have the place of their member in the file, and the
+reason of a gap tells where in the member it lies. No payload is kept beyond its own record or member.
 
 Null html is an empty payload; null urls are empty. Rows with equal payload and equal
 largest id are all responses.
@@ -17,10 +19,11 @@ largest id are all responses.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +37,7 @@ VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 MIN_REVISIT = 1000
 FILE_BYTES = 16 * 1024 * 1024
-MAX_HEADER = 64 * 1024
+VERSION_LINE = 64
 CHUNK = 64 * 1024
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_URN = "urn:page:"
@@ -126,11 +129,29 @@ class Broken(Exception):
     """A check on a record failed."""
 
 
+def stated_digest(value: str) -> tuple[str, str]:
+    """Algorithm and hexadecimal digest of a header; no algorithm when the digest is of no known form."""
+    name, colon, said = value.partition(":")
+    algorithm, said = (name.strip().lower().replace("-", ""), said.strip()) if colon else ("sha1", value.strip())
+    if algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return "", said.lower()
+    size = hashlib.new(algorithm).digest_size
+    try:
+        if len(said) == 2 * size:
+            return algorithm, bytes.fromhex(said).hex()
+        bare = said.rstrip("=").upper()
+        if len(bare) == -(-8 * size // 5):
+            return algorithm, base64.b32decode(bare + "=" * (-len(bare) % 8)).hex()
+    except ValueError:
+        pass
+    return "", said.lower()
+
+
 def parse_record(data: bytes, at: int) -> tuple[Record, int]:
     """The record at `at` and the place after its end mark; raises Broken when any check fails."""
-    if not data.startswith(b"WARC/1.", at):
+    if not data.startswith(b"WARC/1.", at) or data.find(b"\r\n", at, at + VERSION_LINE) < 0:
         raise Broken("no version line")
-    head_end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
+    head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
         raise Broken("no end of headers")
     lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")
@@ -159,9 +180,9 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int]:
             raise Broken("no end of http headers")
         payload = block[http_end + 4 :]
     kind = headers.get("warc-type", "")
-    said = headers.get("warc-payload-digest", "").removeprefix("sha1:").lower()
+    algorithm, said = stated_digest(headers.get("warc-payload-digest", ""))
     digest = hashlib.sha1(payload).hexdigest()
-    if kind != "revisit" and len(said) == 40 and said != digest:
+    if kind != "revisit" and algorithm and said != (digest if algorithm == "sha1" else hashlib.new(algorithm, payload).hexdigest()):
         raise Broken("digest differs")
     record = Record(
         at, end + 4 - at, kind, headers.get("warc-record-id", "").strip("<>"),
@@ -171,47 +192,81 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int]:
     return record, end + 4
 
 
-def read_member(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the gzip member at `at` and the place after it."""
+def unpack_member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The unpacked bytes of the gzip member at `at`, the place after them, and what is wrong with the member, if anything."""
     unpack, parts, pos = zlib.decompressobj(31), [], at
-    try:
-        while not unpack.eof:
-            if pos >= len(data):
-                raise Broken("truncated member")
+    while not unpack.eof:
+        if pos >= len(data):
+            return b"".join(parts), len(data), "truncated member"
+        before = unpack.copy()
+        try:
             parts.append(unpack.decompress(data[pos : pos + CHUNK]))
             pos += CHUNK
-    except zlib.error as error:
-        raise Broken("bad member") from error
-    end = min(pos, len(data)) - len(unpack.unused_data)
-    inner, records, place = b"".join(parts), [], 0
-    while place < len(inner):
-        record, place = parse_record(inner, place)
-        records.append(Record(at, end - at, *[getattr(record, f) for f in ("kind", "record_id", "refers_to", "target", "payload", "digest")]))
-    return records, end
-
-
-def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """Every valid record in order, and a gap for every stretch that holds none."""
+        except zlib.error:
+            # What the chunk holds before the fault counts.
+            try:
+                while True:
+                    parts.append(before.decompress(data[pos : pos + 1]))
+                    pos += 1
+            except zlib.error:
+                return b"".join(parts), pos, "bad member"
+    return b"".join(parts), min(pos, len(data)) - len(unpack.unused_data), ""
+
+
+def read_member(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
+    """Records and gaps of the gzip member at `at` in order, the place after it, and what is wrong with it."""
+    inner, end, fault = unpack_member(data, at)
+    found: list[Record | Gap] = []
+    for x in salvage(inner, members=False):
+        if isinstance(x, Gap):
+            x = replace(x, reason=f"{x.reason} (bytes {x.offset} to {x.offset + x.length} of member)")
+        found.append(replace(x, offset=at, length=end - at))
+    if fault == "truncated member" and len(found) == 1:
+        # A member per record that is cut counts as a truncated record, even when only its checksum is cut.
+        found = []
+    return found, end, fault
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[Record | Gap]:
+    """Every valid record in order, and a gap for every stretch that holds none or is a damaged member."""
     at, lost, reason = 0, None, ""
+    # Of the damaged member in the lost stretch: records and gaps, and where unpacking stopped.
+    held: list[Record | Gap] = []
+    stopped = 0
+
+    def lost_until(end: int) -> Iterator[Record | Gap]:
+        yield from (replace(x, length=end - lost) for x in held)
+        yield Gap(lost, end - lost, reason)
+
     while at < len(data):
         try:
-            if data.startswith(b"\x1f\x8b", at):
-                records, end = read_member(data, at)
+            if members and data.startswith(b"\x1f\x8b", at):
+                found, end, fault = read_member(data, at)
+                if fault:
+                    if any(isinstance(x, Record) for x in found):
+                        if lost is not None:
+                            yield from lost_until(at)
+                        lost, reason, held, stopped = at, fault, found, end
+                    raise Broken(fault)
             else:
                 record, end = parse_record(data, at)
-                records = [record]
+                found = [record]
+                if at < stopped and any(isinstance(x, Record) and replace(x, offset=at, length=record.length) == record for x in held):
+                    # A member that stores its bytes as they are shows them twice.
+                    at = end
+                    continue
         except Broken as broken:
             if lost is None:
                 lost, reason = at, str(broken)
             at = _next_start(data, at + 1)
             continue
         if lost is not None:
-            yield Gap(lost, at - lost, reason)
-            lost = None
-        yield from records
+            yield from lost_until(at)
+            lost, held, stopped = None, [], 0
+        yield from found
         at = end
     if lost is not None:
-        yield Gap(lost, len(data) - lost, reason)
+        yield from lost_until(len(data))
 
 
 def _next_start(data: bytes, at: int) -> int:

@@ -1,5 +1,7 @@
+import base64
 import gzip
 import hashlib
+import random
 import re
 
 import pytest
@@ -215,6 +217,38 @@ def test_damaged_members():
     assert records == [0] and gaps[0][2] in ("truncated member", "bad member")
 
 
+def test_members_of_many_records():
+    rnd = random.Random(4)
+    parts = [record(i, bytes(rnd.randrange(256) for _ in range(3000))) for i in range(9)]
+    parts[4] = parts[4].replace(b"Content-Length", b"Content-Lungth")
+    records, gaps = read(gzip.compress(b"".join(parts)))
+    start = len(b"".join(parts[:4]))
+    assert records == [0, 1, 2, 3, 5, 6, 7, 8] and [g[2] for g in gaps] == [f"no length (bytes {start} to {start + len(parts[4])} of member)"]
+    for level in (0, 6):
+        whole = gzip.compress(b"".join(parts[:4]), level)
+        records, gaps = read(whole[:-5000])
+        assert records == [0, 1] and gaps[-1] == (0, len(whole) - 5000, "truncated member")
+        # The checksum at the end is wrong: records have their own.
+        records, gaps = read(record(7) + b"junk" + whole[:-8] + b"\0" * 8 + gzip.compress(record(8)))
+        assert records == [7, 0, 1, 2, 3, 8] and [g[2] for g in gaps] == ["no version line", "bad member"]
+
+
+def test_long_headers_and_base32_digests():
+    long = b"WARC-Target-URI: data:," + b"x" * 200_000 + b"\r\n"
+    assert read(record(0) + record(1, extra=long) + record(2))[0] == [0, 1, 2]
+    good = base64.b32encode(hashlib.sha1(b"<p>hello</p>").digest())
+    assert read(record(0, digest=good)) == ([0], [])
+    records, gaps = read(record(0) + record(1, digest=b"A" * 32) + record(2))
+    assert records == [0, 2] and [g[2] for g in gaps] == ["digest differs"]
+
+
+def test_pages_with_long_urls_survive(spark):
+    rows = [(1, "data:," + "a b" * 30_000, "x" * 1500), (2, "data:," + "y" * 100_000, "x" * 1500)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {(r.record_id, r.payload_bytes) for r in warc.write_and_read(table).collect()}
+    assert got == {("urn:page:1", 1500), ("urn:page:2", 1500)}
+
+
 def test_every_single_damaged_byte_leaves_the_neighbours():
     a, b, c = record(1), record(2), record(3)
     for at in range(len(b)):
