@@ -1,14 +1,15 @@
 """Mixture-controlled packing of token streams into fixed windows.
 
-Every source is a queue of documents. A window of `WINDOW` tokens takes from each
-queue what deficit round-robin would: a source's credit grows by its share of
+Every source is a queue of documents. A window (one sequence) takes from each
+queue what deficit round-robin would: a source's credit grows by its target proportion of
 every window, it sends whole tokens up to its credit, and what is left of the
-credit is carried to the next window. Carried exactly, the credit spent by source s
-after w windows is floor(tokens of s * end of window w / all tokens). So a token's
-place follows from its place in its queue by integer arithmetic, no state passes
-between tasks, and deficits cross partitions as they cross windows.
+credit is carried to the next window. When a queue ends, the others share its part by their
+targets. Carried exactly, the credit spent by source s at place p of the stream is
+floor(target of s * (p - tokens of ended queues) / targets of the others), until its queue
+ends. So a token's place follows from its place in its queue by integer arithmetic, no state
+passes between tasks, and deficits cross partitions as they cross windows.
 
-All documents are packed once and each source's share is its share of all tokens, so
+All documents are packed once. Without targets a source's target is its share of all tokens, so
 the queues end together and every window has the corpus' mixture to within a token a
 source. Sequences are gapless; only the last of all can be short.
 
@@ -25,8 +26,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 from functools import lru_cache
+from math import lcm
 
 import numpy as np
 import pandas as pd
@@ -41,7 +45,6 @@ from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import settle
 
 SEQUENCE = 1024
-WINDOW = 64 * SEQUENCE
 END_ID = 0
 MEMO_ENTRIES = 600_000
 SLICE_CHARS = 500_000
@@ -105,6 +108,52 @@ class Encoder:
         return [self.whole(t) if u is None else b"".join(map(memo.__getitem__, u)) for t, u in zip(texts, cut)]
 
 
+class Schedule:
+    """Tokens that each queue has spent at each place of the stream, in integers.
+
+    Queues end in the order of size / weight. With k of them ended, which held `done[k]` tokens, a token
+    goes to queue i of the others in the proportion weights[i] / `active[k]`.
+    """
+
+    def __init__(self, sizes: list[int], weights: list[int]):
+        self.sizes, self.weights, self.total = sizes, weights, sum(sizes)
+        order = sorted(range(len(sizes)), key=lambda i: Fraction(sizes[i], weights[i]))
+        self.turn = {i: k for k, i in enumerate(order)}
+        self.order, self.done, self.active, self.ends = order, [0], [sum(weights)], []
+        for i in order:
+            # The first place at which queue i is spent.
+            self.ends.append(self.done[-1] - -sizes[i] * self.active[-1] // weights[i])
+            self.done.append(self.done[-1] + sizes[i])
+            self.active.append(self.active[-1] - weights[i])
+        self.limits: dict[int, list[int]] = {}
+
+    def spent(self, place: int) -> list[int]:
+        """Tokens of each queue up to a place."""
+        k = bisect_right(self.ends, place)
+        done, active = self.done[k], self.active[k]
+        return [n if self.turn[i] < k else w * (place - done) // active for i, (n, w) in enumerate(zip(self.sizes, self.weights))]
+
+    def place_of(self, i: int, at: int) -> int:
+        """The first place up to which queue i has spent token `at`."""
+        if i not in self.limits:
+            # How much queue i has spent when each queue ends.
+            self.limits[i] = [self.weights[i] * self.sizes[j] // self.weights[j] for j in self.order]
+        k = bisect_left(self.limits[i], at + 1)
+        return self.done[k] - -(at + 1) * self.active[k] // self.weights[i]
+
+
+def weights_of(sources: list[tuple[str | None, int]], targets: Mapping[str | None, float] | None) -> list[int]:
+    """Whole numbers in the proportion of the sources' targets; their tokens without targets."""
+    if targets is None:
+        return [n for _, n in sources]
+    wrong = [s for s, _ in sources if not targets.get(s, 0) > 0 or targets[s] == float("inf")]
+    if wrong:
+        raise ValueError(f"sources without a target above 0: {wrong}")
+    parts = [Fraction(targets[s]) for s, _ in sources]
+    scale = lcm(*(f.denominator for f in parts))
+    return [int(f * scale) for f in parts]
+
+
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """One encoder, with its memo, for all tasks of a worker."""
@@ -147,9 +196,13 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     return narrow.mapInArrow(work, "doc_id bigint, source string, task int, start bigint, n bigint, ids binary")
 
 
-def pack(tokens: DataFrame, length: int = SEQUENCE, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
+def pack(
+    tokens: DataFrame, length: int = SEQUENCE, window: int | None = None, with_ids: bool = False, targets: Mapping[str | None, float] | None = None
+) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
+    `targets` has a proportion above 0 for every source (default: its share of all tokens), `window` the
+    tokens within which the mixture holds (default: one sequence).
     `tokens` is a stored result of `tokenized`. The table of sources (one row each) is
     part of the mix's definition and goes to every task as plain integers.
     """
@@ -167,36 +220,25 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window: int = WINDOW, with_i
         "doc_id", "source", (F.col("queue_start") + F.col("start")).alias("at"), "ids"
     )
     names = [s for s, _ in totals]
-    sizes = [n for _, n in totals]
-    everything = sum(sizes)
-
-    def spent(i: int, w: int) -> int:
-        """Tokens of source i in the first w windows."""
-        return sizes[i] * min(w * window, everything) // everything
-
-    def window_of(i: int, at: int) -> int:
-        """The window that takes token `at` of queue i."""
-        w = at * everything // (sizes[i] * window)
-        while spent(i, w + 1) <= at:
-            w += 1
-        return w
+    schedule = Schedule([n for _, n in totals], weights_of(totals, targets))
+    everything, window = schedule.total, window or length
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = {name: i for i, name in enumerate(names)}
-        bases: dict[int, list[int]] = {}
-
-        def base(w: int, i: int) -> int:
-            """Place in the whole stream where source i's part of window w begins."""
-            if w not in bases:
-                if len(bases) > 4096:
-                    bases.clear()
-                now, then = [spent(j, w) for j in range(len(sizes))], [spent(j, w + 1) for j in range(len(sizes))]
+        shares: dict[int, tuple[list[int], list[int], list[int]]] = {}
+
+        def share(w: int) -> tuple[list[int], list[int], list[int]]:
+            """Of window w: each source's place in the whole stream, and its tokens before and after."""
+            if w not in shares:
+                if len(shares) > 4096:
+                    shares.clear()
+                now, then = (schedule.spent(min(v * window, everything)) for v in (w, w + 1))
                 place, row = sum(now), []
                 for a, b in zip(now, then):
                     row.append(place)
                     place += b - a
-                bases[w] = row
-            return bases[w][i]
+                shares[w] = row, now, then
+            return shares[w]
 
         for frame in frames:
             out: list[tuple] = []
@@ -205,9 +247,9 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window: int = WINDOW, with_i
                 at, n, done = int(at), len(ids) // 4, 0
                 key = None if pd.isna(key) else int(key)
                 while done < n:
-                    w = window_of(i, at + done)
-                    place = base(w, i) + at + done - spent(i, w)
-                    room = min(n - done, spent(i, w + 1) - at - done, length - place % length)
+                    base, now, then = share((schedule.place_of(i, at + done) - 1) // window)
+                    place = base[i] + at + done - now[i]
+                    room = min(n - done, then[i] - at - done, length - place % length)
                     part = ids[4 * done : 4 * (done + room)]
                     out.append((key, done, room, zlib.crc32(part), n, place // length, place % length, *([bytes(part)] if with_ids else [])))
                     done += room

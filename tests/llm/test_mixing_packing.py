@@ -1,5 +1,7 @@
 import random
 import zlib
+from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -141,3 +143,57 @@ def test_windows_hold_the_mixture(spark):
         .groupBy("w").agg(F.sum(F.when(F.col("source") == "a", F.col("length")).otherwise(0)).alias("a"), F.sum("length").alias("n")).collect()
     )
     assert all(abs(r.a - share * r.n) <= 4 for r in windows)
+
+
+def test_schedule_matches_plain_steps():
+    rnd = random.Random(8)
+    for _ in range(60):
+        sizes = [rnd.randint(1, 60) for _ in range(rnd.randint(1, 5))]
+        targets = {i: rnd.choice([0.1, 0.25, 1, 2, 3.5]) for i in range(len(sizes))}
+        weights = packing.weights_of(list(enumerate(sizes)), targets)
+        plan = packing.Schedule(sizes, weights)
+        time, place, left = Fraction(0), Fraction(0), set(range(len(sizes)))
+        at = 0
+        while left:
+            # Place and credits go on in proportion until the next queue ends.
+            end = min(Fraction(sizes[i], weights[i]) for i in left)
+            rate = sum(weights[i] for i in left)
+            while at <= place + (end - time) * rate:
+                now = time + (at - place) / rate
+                assert plan.spent(at) == [min(n, int(w * now)) for n, w in zip(sizes, weights)]
+                at += 1
+            place, time = place + (end - time) * rate, end
+            left = {i for i in left if Fraction(sizes[i], weights[i]) > end}
+        assert at == sum(sizes) + 1
+        for i, n in enumerate(sizes):
+            for t in range(n):
+                p = plan.place_of(i, t)
+                assert plan.spent(p)[i] > t >= plan.spent(p - 1)[i]
+
+
+def test_targets_hold_in_every_sequence_until_a_queue_ends(spark, encoder):
+    texts = ["alpha beta gamma delta " * 40] * 90 + ["one two three four five " * 40] * 30 + ["red blue " * 40] * 30
+    name = F.when(F.col("doc_id") < 90, "a").when(F.col("doc_id") < 120, "b")
+    docs = documents(spark, texts).withColumn("source", name).repartition(4)
+    targets = {"a": 0.25, "b": 0.25, None: 0.5}
+    pieces = packing.pack_documents(docs, tokenizer_path(), length=64, targets=targets).collect()
+    check_pieces(docs, pieces, encoder, 64)
+    by_sequence = {}
+    for p in pieces:
+        held = by_sequence.setdefault(p.sequence_id, Counter())
+        held["a" if p.doc_id < 90 else "b" if p.doc_id < 120 else None] += p.length
+    of = lambda s: [k for k, held in by_sequence.items() if held[s]]
+    for k, held in by_sequence.items():
+        if k < max(of(None)) - 1:
+            assert all(abs(held[s] - 64 * t) <= 4 for s, t in targets.items())
+        elif max(of(None)) + 1 < k < max(of("b")) - 1:
+            assert abs(held["a"] - 32) <= 4 and abs(held["b"] - 32) <= 4
+    assert max(of(None)) < max(of("b")) < max(of("a"))
+    with pytest.raises(ValueError):
+        packing.pack_documents(docs, tokenizer_path(), targets={"a": 1, "b": 1})
+
+
+def test_a_sequence_holds_the_corpus_mixture(spark):
+    docs = documents(spark, ["alpha beta gamma delta " * 300] * 8).withColumn("source", F.when(F.col("doc_id") < 4, "a").otherwise("b"))
+    for r in packing.pack_documents(docs, tokenizer_path()).filter("length > 600").collect():
+        raise AssertionError(r)
