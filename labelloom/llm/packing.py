@@ -61,7 +61,8 @@ class Encoder:
     The tokenizer's own rule starts a new unit at a blank before a non-blank, at a
     single line feed between non-blanks, and at a stop or comma after a letter or
     digit. Units are encoded once each, many in one call, and a bounded number is
-    remembered. A text in which these rules could part a unit is encoded whole.
+    remembered. A text in which these rules could part a unit, or which holds the string of an
+    added token, is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -69,7 +70,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = sorted((re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content), key=len, reverse=True)
+        self.added = re.compile("|".join(added)) if added else None
         self.memo: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -90,7 +92,7 @@ class Encoder:
     def batch(self, texts: list[str]) -> list[bytes]:
         cut: list[list[str] | None] = []
         for text in texts:
-            if "\0" in text or INNER_BLANK.search(text):
+            if "\0" in text or INNER_BLANK.search(text) or (self.added and self.added.search(text)):
                 cut.append(None)
                 continue
             if not JOINED_STOP.search(text):

@@ -86,6 +86,16 @@ def test_units_give_the_tokenizers_ids(encoder):
         assert ids == encoder.whole(text), repr(text)
 
 
+def test_added_tokens_have_the_files_own_ids(encoder):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokenizer_path())
+    texts = ["a b <|endoftext|> c", "<|endoftext|>", "x.<|endoftext|>, y\nz", "<|endoftext |> a", "<|endof text|>", "plain words, no more."]
+    for text, ids in zip(texts, encoder.batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, text
+    assert 50256 in np.frombuffer(encoder.batch(texts)[0], "<u4")
+
+
 def test_a_small_memo_changes_nothing(encoder, monkeypatch):
     monkeypatch.setattr(packing, "MEMO_ENTRIES", 20)
     fresh = packing.Encoder(tokenizer_path())
