@@ -12,8 +12,10 @@ from labelloom.plans.joins import lookup_join
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(read_table(spark, sf_dir, "documents"))
-    drawn = plan.mix.documents.groupBy("key").agg(F.sum("words").cast("bigint").alias("taken"))
-    full = plan.taken.select("key", "source", "size").join(drawn, "key", "left")
+    # Rows of two sources that are equal in id and text share a key.
+    drawn = plan.mix.documents.groupBy("key", "source").agg(F.sum("words").cast("bigint").alias("taken")).alias("b")
+    mine = (F.col("a.key") == F.col("b.key")) & F.col("a.source").eqNullSafe(F.col("b.source"))
+    full = plan.taken.select("key", "source", "size").alias("a").join(drawn, mine, "left").select("a.key", "a.source", "size", "taken")
     named = lookup_join(full, plan.targets, ["source"], ["key"], null_safe=True)
     doc_id = F.split_part("key", F.lit("|"), F.lit(1))
     return named.select(

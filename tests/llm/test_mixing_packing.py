@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelloom.llm import mixing, packing
+from labelloom.llm.op4 import op4_mix_sources
 from labelloom.llm.op5 import tokenizer_path
 from tests.llm.helpers import SF, awkward_documents, documents, empty_documents
 
@@ -62,6 +63,15 @@ def test_mixed_documents_keep_columns_and_words(spark):
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix_documents(docs.repartition(5)).collect()))
 
 
+def test_equal_rows_of_two_sources_are_counted_apart(spark, tmp_path):
+    rows = [(1, "one two three", "a"), (1, "one two three", "b"), (1, "one two three", None), (2, "four five", "a"), (None, "six", "b"), (None, "six", "a")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = op4_mix_sources(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    targets = mixing.plan_mix(spark.read.parquet(str(tmp_path / "documents.parquet"))).targets.collect()
+    assert sum(r.taken for r in got) == sum(round(r.target) for r in targets)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_documents(empty_documents(spark)).count() == 0
 
