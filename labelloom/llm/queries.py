@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from labelloom.llm.op1 import op1_quality_classifier
 from labelloom.llm.op10 import op10_license_scan
+from labelloom.llm.op13 import op13_align_tokenizers
 from labelloom.llm.op2 import op2_line_dedup
 from labelloom.llm.op3 import op3_embedding_dedup
 from labelloom.llm.op4 import OP4_SQL, op4_mix_sources
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_license_scan": (op10_license_scan, None),
+    "op13_align_tokenizers": (op13_align_tokenizers, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

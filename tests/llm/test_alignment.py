@@ -1,0 +1,174 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from labelloom.llm.alignment import Csr, align_tokens, token_links
+from labelloom.llm.op13 import BYTE_VOCABULARY, PIECE_VOCABULARY, op13_align_tokenizers
+from labelloom.llm.tokens import byte_alphabet, byte_tokenizer
+from tests.llm.helpers import SF, awkward_documents, empty_documents
+
+P = pytest.importorskip("public_tokenizers")
+A, B = P.path(BYTE_VOCABULARY), P.path(PIECE_VOCABULARY)
+
+
+def fresh():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    return t, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def spans(pieces):
+    out, at = [], 0
+    for p in pieces:
+        out.append((at, at + len(p)))
+        at += len(p)
+    return out
+
+
+def plain(text, t, sp):
+    """Ids, links (with repeats) and groups of one text, token by token."""
+    if not text:
+        return None
+    raw, byte = (" " + text).encode(), byte_alphabet()
+    a, b = t.encode(" " + text, add_special_tokens=False).ids, sp.encode(text)
+    bytes_a = [bytes(byte[c] for c in t.id_to_token(i)) for i in a]
+    bytes_b = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode() for i in b]
+    if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
+        return None
+    sa, sb = spans(bytes_a), spans(bytes_b)
+    links, j = [], 0
+    for i, (start, end) in enumerate(sa):
+        while sb[j][1] <= start:
+            j += 1
+        k = j
+        while k < len(sb) and sb[k][0] < end:
+            links.append((i, k, min(end, sb[k][1]) - max(start, sb[k][0])))
+            k += 1
+    ends = sorted({e for _, e in sa} & {e for _, e in sb})
+    groups = [
+        ([i for i, (_, e) in enumerate(sa) if low < e <= high], [i for i, (_, e) in enumerate(sb) if low < e <= high]) for low, high in zip([0, *ends], ends)
+    ]
+    return a, b, links, groups
+
+
+def expected(rows):
+    t, sp = fresh()
+    found = [plain(text, t, sp) for _, text in rows]
+    held = Counter()
+    for f in found:
+        if f:
+            held.update({(f[0][i], f[1][k]) for i, k, _ in f[2]})
+    best = defaultdict(int)
+    for (a, _), n in held.items():
+        best[a] = max(best[a], n)
+    out = []
+    for (doc, _), f in zip(rows, found):
+        if not f:
+            out.append((doc, 0, 0, 0, 0, 0, 0, "", 0))
+            continue
+        a, b, links, groups = f
+        pairs = [(a[i], b[k]) for i, k, _ in links]
+        text = ";".join(",".join(str(a[i]) for i in g) + "|" + ",".join(str(b[k]) for k in h) for g, h in groups)
+        out.append(
+            (doc, len(a), len(b), len(groups), len(links), sum(held[p] == best[p[0]] for p in pairs), sum(held[p] for p in pairs),
+             hashlib.sha256(text.encode()).hexdigest(), sum(len(g) * len(h) for g, h in groups))
+        )
+    return sorted(out, key=str)
+
+
+AWKWARD = [
+    (1, "plain words, then <|endoftext|> and <s>marks</s>."),
+    (2, "▁a piece sign is no space"),
+    (3, "größer 😀 naïve \t\ttabs\n\n\nlines \x00 end  "),
+    (4, None),
+    (5, ""),
+    (None, "no id"),
+    (None, "no id"),
+    (6, "   "),
+    (7, "a" * 5000 + " " * 3000 + "^" * 3000 + "漢字" * 1000),
+    (8, "<0x41> ÿ퟿￿"),
+]
+
+
+def test_equals_the_plain_version(spark):
+    docs = spark.createDataFrame(AWKWARD, "doc_id bigint, text string")
+    assert sorted(map(tuple, align_tokens(docs, A, B).collect()), key=str) == expected(AWKWARD)
+
+
+def test_query_equals_the_plain_version(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = op13_align_tokenizers(spark, SF)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows)
+
+
+def test_pieces_of_any_size_give_the_same_links(monkeypatch):
+    import labelloom.llm.alignment as module
+
+    pair = module.Pair(A, B)
+    it = module.Aligned(pair, pair.encode([t for _, t in AWKWARD]))
+    whole = [np.concatenate(c) for c in zip(*it.overlaps(10**9))]
+    for size in (1, 7, 100):
+        for x, y in zip(whole, [np.concatenate(c) for c in zip(*it.overlaps(size))]):
+            assert (x == y).all()
+
+
+def test_links_of_tokens_and_groups(spark):
+    t, sp = fresh()
+    rows = [r for r in AWKWARD if r[0] in (1, 2, 3, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want, wide = set(), set()
+    for doc, text in rows:
+        if f := plain(text, t, sp):
+            want |= {(doc, i, k, f[0][i], f[1][k], n) for i, k, n in f[2]}
+            wide |= {(doc, i, k) for g, h in f[3] for i in g for k in h}
+    assert {tuple(r)[1:] for r in token_links(docs, A, B).collect()} == want
+    assert {(r.doc_id, r.a_at, r.b_at) for r in token_links(docs, A, B, within_groups=True).collect()} == wide
+
+
+def test_awkward_tables(spark):
+    assert align_tokens(empty_documents(spark), A, B).count() == 0
+    docs = awkward_documents(spark)
+    assert align_tokens(docs, A, B).count() == docs.count()
+
+
+def test_shuffled_look_up_gives_the_same_rows(spark, monkeypatch):
+    import labelloom.plans.joins as joins
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40).select("doc_id", "text")
+    known = sorted(map(tuple, align_tokens(docs, A, B).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    assert sorted(map(tuple, align_tokens(docs, A, B).collect())) == known
+
+
+def test_products_equal_dense_ones():
+    rng = np.random.default_rng(1)
+
+    def sparse(x):
+        rows, columns = np.nonzero(x)
+        return Csr(np.r_[0, np.cumsum(np.bincount(rows, minlength=len(x)))], columns, x[rows, columns], x.shape[1])
+
+    def dense(c):
+        out = np.zeros((c.rows, c.columns), np.int64)
+        out[c.row_of(), c.indices] = c.values
+        return out
+
+    for n, k, m in [(5, 7, 4), (1, 1, 1), (0, 3, 2), (20, 30, 25)]:
+        x, y = rng.integers(0, 3, (n, k)), rng.integers(0, 3, (k, m))
+        assert (dense(sparse(x).product(sparse(y))) == x @ y).all()
+        assert (dense(sparse(x).transposed()) == x.T).all()
+        assert (sparse(x).product_sizes(sparse(y)) == (x != 0) @ (y != 0).sum(1)).all()
+
+
+def test_byte_tokenizer_equals_the_files_own_library_for_every_code_point():
+    t, _ = fresh()
+    fast = byte_tokenizer(A, True)
+    assert fast.fast is not None
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and not 0x32000 <= c < 0xE0000 and c < 0xF0000]
+    texts = ["".join(f"a{chr(c)}b 1{chr(c)}2 {chr(c)} !{chr(c)}{chr(c)}\n" for c in points[at : at + 64]) for at in range(0, len(points), 64)]
+    for text, made in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        assert fast.ids(text).tolist() == made.ids
