@@ -202,7 +202,7 @@ def search_runs(visits: DataFrame, tasks: int, k: int) -> DataFrame:
                 )
 
     # Little data and much work: a task for each run and block of queries, not as many as the bytes suggest.
-    dealt = visits.select("at", "own", "row", "vec_id", "vector", "bound").repartition(tasks, "at").sortWithinPartitions("at", F.desc("own"))
+    dealt = visits.select("at", "own", "row", "vec_id", "vector", "bound").repartition(max(tasks, 1), "at").sortWithinPartitions("at", F.desc("own"))
     return dealt.mapInArrow(work, "query bigint, query_id bigint, vec_id bigint, score double")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from labelloom.llm.op1 import op1_quality_classifier
 from labelloom.llm.op10 import op10_license_scan
+from labelloom.llm.op11 import OP11_SQL, op11_rank_documents
 from labelloom.llm.op12 import op12_nearest_vectors
 from labelloom.llm.op13 import op13_align_tokenizers
 from labelloom.llm.op2 import op2_line_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_license_scan": (op10_license_scan, None),
+    "op11_rank_documents": (op11_rank_documents, OP11_SQL),
     "op12_nearest_vectors": (op12_nearest_vectors, None),
     "op13_align_tokenizers": (op13_align_tokenizers, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
