@@ -169,7 +169,7 @@ class Bucket:
         return _by_list(np.where(asked[self.terms[at]], self.impacts[at], 0), ends)
 
 
-def search(vectors: DataFrame, block: Block, known: np.ndarray, k: int) -> DataFrame:
+def search(vectors: DataFrame, block: Block, known: np.ndarray, k: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(item, doc_id, score): each task's best `k` rows a query; `known` has scores that k documents reach."""
     queries, size = block.terms, len(block.vocabulary)
 
@@ -178,8 +178,8 @@ def search(vectors: DataFrame, block: Block, known: np.ndarray, k: int) -> DataF
         best = [(np.array([], np.int64), np.array([], np.int64)) for _ in queries]
         roots = np.sqrt([len(q) for q in queries])
         for batch in batches:
-            for at in range(0, batch.num_rows, BUCKET_ROWS):
-                part = batch.slice(at, BUCKET_ROWS)
+            for at in range(0, batch.num_rows, bucket_rows):
+                part = batch.slice(at, bucket_rows)
                 norms = part.column(0).to_numpy()
                 active = np.flatnonzero(roots * norms.max() * (1 + 1e-9) + 1 >= wanted)
                 if not len(active):
@@ -214,7 +214,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _rank_block(docs: DataFrame, block: Block, k: int, key: str, text: str) -> DataFrame:
+def _rank_block(docs: DataFrame, block: Block, k: int, key: str, text: str, bucket_rows: int) -> DataFrame:
     counted = stored(count_terms(docs, block.vocabulary, key, text), "impact-counts")
     size = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("words")).first()
     documents, words = int(size["n"]), int(size["words"] or 0)
@@ -231,12 +231,12 @@ def _rank_block(docs: DataFrame, block: Block, k: int, key: str, text: str) -> D
     if documents > FIRST_ROWS:
         cut = vectors.agg(F.percentile_approx("norm", 1 - FIRST_ROWS / documents, 10_000)).first()[0]
     if cut is None:
-        found = search(vectors, block, known, k)
+        found = search(vectors, block, known, k, bucket_rows)
     else:
-        first = stored(_ranked(search(vectors.filter(F.col("norm") >= cut), block, known, k), k), "impact-first")
+        first = stored(_ranked(search(vectors.filter(F.col("norm") >= cut), block, known, k, bucket_rows), k), "impact-first")
         for r in first.filter(F.col("rank") == k).select("item", "score").collect():
             known[r["item"]] = r["score"]
-        found = first.select("item", "doc_id", "score").unionByName(search(vectors.filter(F.col("norm") < cut), block, known, k))
+        found = first.select("item", "doc_id", "score").unionByName(search(vectors.filter(F.col("norm") < cut), block, known, k, bucket_rows))
     names = docs.sparkSession.createDataFrame([(i, x) for i, x in enumerate(block.ids)], "item bigint, item_id bigint")
     # The queries of one block: bounded by its bytes.
     return _ranked(found, k).join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
@@ -244,7 +244,7 @@ def _rank_block(docs: DataFrame, block: Block, k: int, key: str, text: str) -> D
 
 def rank_documents(
     docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """(item_id, rank, doc_id, score): the `k` best documents of each item, those with a score of 0 left out."""
     asked = settle(
@@ -258,7 +258,7 @@ def rank_documents(
     for b in range(blocks):
         block = read_block(asked.df.filter(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == b))
         if block.ids:
-            found.append(_rank_block(docs, block, k, key, text))
+            found.append(_rank_block(docs, block, k, key, text, bucket_rows))
     if not found:
         return docs.sparkSession.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
     return reduce(DataFrame.unionByName, found)

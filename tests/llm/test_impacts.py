@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import labelloom.llm.impacts as module
 from labelloom.llm.impacts import Bucket, rank_documents, terms_of
 from labelloom.llm.op11 import OP11_SQL, op11_rank_documents
-from tests.compare import compare
+from labelloom.catalog.base import Entry
+from tests.compare import compare, connect
 from tests.llm.helpers import SF, awkward_documents, empty_documents
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -52,13 +53,12 @@ def test_terms():
 
 
 def test_query_equals_its_sql(spark):
-    compare(spark, op11_rank_documents, OP11_SQL, SF)
+    assert compare(spark, connect(SF), Entry(op11_rank_documents, OP11_SQL), SF)[0].startswith("ok")
 
 
 @pytest.mark.parametrize("first", [10, 100, 10_000])
 @pytest.mark.parametrize("bucket", [1, 16, 1024])
 def test_buckets_of_any_size_give_the_same_rows(spark, monkeypatch, first, bucket):
-    # Patched here for the driver; tasks read the bucket size from the module they import, so it is set in the function itself.
     monkeypatch.setattr(module, "FIRST_ROWS", first)
     monkeypatch.setattr(module, "FILE_ROWS", 30)
     rng = np.random.default_rng(first + bucket)
@@ -67,7 +67,7 @@ def test_buckets_of_any_size_give_the_same_rows(spark, monkeypatch, first, bucke
     texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 80), p=chances / chances.sum())) for _ in range(200)]
     docs = list(enumerate(texts + texts[:30]))
     items = [(i, " ".join(rng.choice(vocabulary, 8))) for i in range(12)]
-    assert rows(rank_documents(frame(spark, docs, "doc_id"), frame(spark, items, "item_id"))) == plain(docs, items)
+    assert rows(rank_documents(frame(spark, docs, "doc_id"), frame(spark, items, "item_id"), bucket_rows=bucket)) == plain(docs, items)
 
 
 def test_blocks_of_queries(spark):
