@@ -1,21 +1,20 @@
 """Mixture-controlled packing of token streams into fixed windows.
 
-Every source is a queue of documents. A window (one sequence) takes from each
-queue what deficit round-robin would: a source's credit grows by its target proportion of
-every window, it sends whole tokens up to its credit, and what is left of the
-credit is carried to the next window. When a queue ends, the others share its part by their
-targets. Carried exactly, the credit spent by source s at place p of the stream is
-floor(target of s * (p - tokens of ended queues) / targets of the others), until its queue
-ends. So a token's place follows from its place in its queue by integer arithmetic, no state
-passes between tasks, and deficits cross partitions as they cross windows.
+Every source is a queue of documents. In each round a queue's credit grows by its target proportion of
+a window (one sequence); what it has in whole quanta it sends, and the rest, its deficit, is carried to the
+next round. So a small source speaks every few sequences, in runs of a quantum at least. When
+a queue ends, it sends what is left, and the others share its part by their targets. Carried exactly, the
+credit of source s at place p of the stream is floor(target of s * (p - tokens of ended queues) / targets of the
+others) until its queue ends. So a token's round, and its place, follow from its place in its queue by integer
+arithmetic, no state passes between tasks, and deficits cross partitions as they cross windows. Over any run
+of whole rounds a source has its target to within a quantum and a token.
 
 All documents are packed once. Without targets a source's target is its share of all tokens, so
-the queues end together and every window has the corpus' mixture to within a token a
-source. Sequences are gapless; only the last of all can be short.
+the queues end together. Sequences are gapless; only the last of all can be short.
 
 Steps: (1) tokens are made once and written with a running count per task and
 source; (2) counts per (task, source) give each task's start in each queue;
-(3) documents are cut into pieces in place. Token arrays are never shuffled.
+(3) documents are cut into pieces in place, by whole columns. Token arrays are never shuffled.
 
 Null texts are empty and consist of the end id alone. A null source is a queue of
 its own. Repeated rows are separate documents.
@@ -23,17 +22,13 @@ its own. Repeated rows are separate documents.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
-from functools import lru_cache
 from math import lcm
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -41,73 +36,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.llm.common import stored
+from labelloom.llm.tokens import byte_tokenizer
 from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import settle
 
 SEQUENCE = 1024
+QUANTUM = 128
 END_ID = 0
-MEMO_ENTRIES = 600_000
-SLICE_CHARS = 500_000
-
-# A lone blank between other white space, or at the end, is not the start of a word.
-INNER_BLANK = re.compile(r"\s (?!\S)|\s\n|\n\s")
-# A full stop or comma after anything but a letter or digit may belong to a run of signs.
-JOINED_STOP = re.compile(r"[\W_][.,]")
-
-
-class Encoder:
-    """Token ids of texts, as little-endian unsigned 32-bit bytes.
-
-    The tokenizer's own rule starts a new unit at a blank before a non-blank, at a
-    single line feed between non-blanks, and at a stop or comma after a letter or
-    digit. Units are encoded once each, many in one call, and a bounded number is
-    remembered. A text in which these rules could part a unit, or which holds the string of an
-    added token, is encoded whole.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        added = sorted((re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content), key=len, reverse=True)
-        self.added = re.compile("|".join(added)) if added else None
-        self.memo: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, units: list[str]) -> None:
-        for at in range(0, len(units), 8192):
-            part = units[at : at + 8192]
-            self.memo.update(dict.fromkeys(part, b""))
-            made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(made.ids, "<u4"), np.array(made.word_ids, np.int64)
-            if len(ids):
-                first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                raw, ends = ids.tobytes(), np.r_[first[1:], len(ids)]
-                for u, a, b in zip(owner[first].tolist(), (4 * first).tolist(), (4 * ends).tolist()):
-                    self.memo[part[u]] = raw[a:b]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if "\0" in text or INNER_BLANK.search(text) or (self.added and self.added.search(text)):
-                cut.append(None)
-                continue
-            if not JOINED_STOP.search(text):
-                text = text.replace(",", "\0,").replace(".", "\0.")
-            cut.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
-        if len(self.memo) > MEMO_ENTRIES:
-            # Long units come back least often.
-            lengths = np.fromiter(map(len, self.memo), np.int64, len(self.memo))
-            longest = np.median(lengths)
-            self.memo = {u: ids for u, ids in self.memo.items() if len(u) <= longest}
-            if len(self.memo) > 0.8 * MEMO_ENTRIES:
-                self.memo.clear()
-        memo = self.memo
-        self.learn([u for u in set().union(*(u for u in cut if u)) if u not in memo])
-        return [self.whole(t) if u is None else b"".join(map(memo.__getitem__, u)) for t, u in zip(texts, cut)]
+SLICE_BYTES = 500_000
+# Numbers held at once while rounds are looked up.
+TABLE_CELLS = 500_000
 
 
 class Schedule:
@@ -128,6 +66,8 @@ class Schedule:
             self.done.append(self.done[-1] + sizes[i])
             self.active.append(self.active[-1] - weights[i])
         self.limits: dict[int, list[int]] = {}
+        self.columns = {n: np.array(v, np.int64) for n, v in (("sizes", sizes), ("weights", weights), ("ends", self.ends), ("done", self.done), ("active", self.active))}
+        self.turns = np.array([self.turn[i] for i in range(len(sizes))], np.int64)
 
     def spent(self, place: int) -> list[int]:
         """Tokens of each queue up to a place."""
@@ -143,6 +83,31 @@ class Schedule:
         k = bisect_left(self.limits[i], at + 1)
         return self.done[k] - -(at + 1) * self.active[k] // self.weights[i]
 
+    def sent(self, places: np.ndarray, quantum: int) -> np.ndarray:
+        """Tokens that each queue has sent, in whole quanta until it ends, up to each place (a row for each)."""
+        c = self.columns
+        k = np.searchsorted(c["ends"], places, "right")
+        credit = mul_div(c["weights"][None, :], (places - c["done"][k])[:, None], np.maximum(c["active"][k], 1)[:, None])
+        return np.where(self.turns[None, :] < k[:, None], c["sizes"][None, :], credit // quantum * quantum)
+
+    def places_of(self, i: int, at: np.ndarray) -> np.ndarray:
+        """`place_of` for many tokens of a queue."""
+        self.place_of(i, 0)
+        c = self.columns
+        k = np.searchsorted(np.array(self.limits[i], np.int64), at + 1, "left")
+        return c["done"][k] - mul_div(-(at + 1), c["active"][k], c["weights"][i])
+
+
+def mul_div(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """floor(a * b / c) of whole numbers whose product may be beyond 64 bits; the quotient is below 2^50 and c below 2^60.
+
+    The quotient in doubles is a few units off at most, and what it leaves is exact modulo 2^64.
+    """
+    a, b, c = np.broadcast_arrays(np.asarray(a, np.int64), b, c)
+    near = np.floor(a.astype(np.float64) * b / c).astype(np.int64)
+    with np.errstate(over="ignore"):
+        return near + (a * b - near * c) // c
+
 
 def weights_of(sources: list[tuple[str | None, int]], targets: Mapping[str | None, float] | None) -> list[int]:
     """Whole numbers in the proportion of the sources' targets; their tokens without targets."""
@@ -153,19 +118,16 @@ def weights_of(sources: list[tuple[str | None, int]], targets: Mapping[str | Non
         raise ValueError(f"sources without a target above 0: {wrong}")
     parts = [Fraction(targets[s]) for s, _ in sources]
     scale = lcm(*(f.denominator for f in parts))
-    return [int(f * scale) for f in parts]
-
+    whole = [int(f * scale) for f in parts]
+    # Targets are held to one part in 2^50.
+    excess = max(0, sum(whole).bit_length() - 50)
+    return [max(1, w >> excess) for w in whole]
 
-@lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
-    """One encoder, with its memo, for all tasks of a worker."""
-    return Encoder(path)
 
-
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE_CHARS bytes of text each (a longer text stands alone)."""
-    sizes = np.array(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)
-    part = np.cumsum(sizes) // SLICE_CHARS
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about SLICE_BYTES in a column (a longer value stands alone)."""
+    sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
     edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(sizes) else np.array([], int)
     for a, b in zip(edges, np.r_[edges[1:], len(sizes)]):
         yield batch.slice(int(a), int(b - a))
@@ -175,36 +137,82 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     """(doc_id, source, task, start, n, ids): `start` counts the task's earlier tokens of that source."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = encoder_of(path), TaskContext.get().partitionId()
+        tokenizer, task = byte_tokenizer(path), TaskContext.get().partitionId()
         end = np.array([END_ID], "<u4").tobytes()
         seen: dict[str | None, int] = {}
         for batch in batches:
-            for part in _slices(batch):
-                keys, texts, sources = (part.column(i).to_pylist() for i in range(3))
-                columns: list[list] = [[] for _ in names]
-                for k, ids, s in zip(keys, encoder.batch([t or "" for t in texts]), sources):
-                    ids += end
-                    n, start = len(ids) // 4, seen.get(s, 0)
-                    seen[s] = start + n
-                    for column, value in zip(columns, (k, s, task, start, n, ids)):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+            for part in _slices(batch, 1):
+                ids = [x.tobytes() + end for x in tokenizer.batch([t or "" for t in part.column(1).to_pylist()])]
+                sizes, starts = [len(x) // 4 for x in ids], []
+                for s, n in zip(part.column(2).to_pylist(), sizes):
+                    starts.append(seen.get(s, 0))
+                    seen[s] = starts[-1] + n
+                made = [part.column(0), part.column(2), pa.repeat(pa.scalar(task, pa.int32()), len(ids)), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, names)
 
     names = ["doc_id", "source", "task", "start", "n", "ids"]
-    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     narrow = docs.select(
         F.col(f"`{key}`").cast("bigint"), F.col(f"`{text}`"), F.col(f"`{source}`").cast("string")
     )
     return narrow.mapInArrow(work, "doc_id bigint, source string, task int, start bigint, n bigint, ids binary")
 
 
+class Cutter:
+    """Cuts documents into the pieces that a schedule gives them."""
+
+    def __init__(self, schedule: Schedule, length: int, window: int, quantum: int):
+        self.schedule, self.length, self.window, self.quantum = schedule, length, window, quantum
+
+    def places(self, queue: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places in the whole stream of tokens `at` of queues."""
+        plan, out = self.schedule, np.empty(len(at), np.int64)
+        due = np.minimum(plan.columns["sizes"][queue], (at // self.quantum + 1) * self.quantum) - 1
+        rounds = np.empty(len(at), np.int64)
+        for i in np.unique(queue).tolist():
+            mine = queue == i
+            rounds[mine] = (plan.places_of(i, due[mine]) - 1) // self.window
+        order = np.argsort(rounds, kind="stable")
+        step = max(1, TABLE_CELLS // len(plan.sizes))
+        for a in range(0, len(at), step):
+            some = order[a : a + step]
+            which, row = np.unique(rounds[some], return_inverse=True)
+            now, then = (plan.sent(np.minimum((which + s) * self.window, plan.total), self.quantum) for s in (0, 1))
+            passed = then - now
+            before = now.sum(1)[:, None] + np.cumsum(passed, axis=1) - passed
+            out[some] = before[row, queue[some]] + at[some] - now[row, queue[some]]
+        return out
+
+    def pieces(self, queue: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, start, length, place) of all pieces of documents that begin at `at` of their queues."""
+        quanta = (at + n - 1) // self.quantum - at // self.quantum + 1
+        doc = np.repeat(np.arange(len(at)), quanta)
+        step = np.arange(len(doc)) - np.repeat(np.cumsum(quanta) - quanta, quanta)
+        first = np.maximum((at[doc] // self.quantum + step) * self.quantum, at[doc])
+        place = self.places(queue[doc], first)
+        start = first - at[doc]
+        size = np.r_[start[1:], 0] - start
+        last = np.r_[doc[1:] != doc[:-1], True] if len(doc) else np.array([], bool)
+        size[last] = n[doc[last]] - start[last]
+        # Quanta that follow each other in the stream are one run; a run is cut where a sequence ends.
+        new = np.r_[True, last[:-1] | (place[1:] != place[:-1] + size[:-1])] if len(doc) else np.array([], bool)
+        head = np.flatnonzero(new)
+        doc, start, place, size = doc[head], start[head], place[head], np.add.reduceat(size, head) if len(head) else size
+        parts = (place + size - 1) // self.length - place // self.length + 1
+        run = np.repeat(np.arange(len(doc)), parts)
+        nth = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+        low = np.maximum((place[run] // self.length + nth) * self.length, place[run])
+        high = np.minimum((place[run] // self.length + nth + 1) * self.length, place[run] + size[run])
+        return doc[run], start[run] + low - place[run], high - low, low
+
+
 def pack(
-    tokens: DataFrame, length: int = SEQUENCE, window: int | None = None, with_ids: bool = False, targets: Mapping[str | None, float] | None = None
-) -> DataFrame:
+    tokens: DataFrame, length: int = SEQUENCE, window: int | None = None, with_ids: bool = False, targets: Mapping[str | None, float] | None = None,
+    quantum: int = QUANTUM,
+) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     `targets` has a proportion above 0 for every source (default: its share of all tokens), `window` the
-    tokens within which the mixture holds (default: one sequence).
+    tokens of a round (default: one sequence), `quantum` the tokens that a source sends at once.
     `tokens` is a stored result of `tokenized`. The table of sources (one row each) is
     part of the mix's definition and goes to every task as plain integers.
     """
@@ -221,48 +229,29 @@ def pack(
     placed = lookup_join(tokens, starts, ["source", "task"], ["doc_id"], null_safe=True).select(
         "doc_id", "source", (F.col("queue_start") + F.col("start")).alias("at"), "ids"
     )
-    names = [s for s, _ in totals]
-    schedule = Schedule([n for _, n in totals], weights_of(totals, targets))
-    everything, window = schedule.total, window or length
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = {name: i for i, name in enumerate(names)}
-        shares: dict[int, tuple[list[int], list[int], list[int]]] = {}
-
-        def share(w: int) -> tuple[list[int], list[int], list[int]]:
-            """Of window w: each source's place in the whole stream, and its tokens before and after."""
-            if w not in shares:
-                if len(shares) > 4096:
-                    shares.clear()
-                now, then = (schedule.spent(min(v * window, everything)) for v in (w, w + 1))
-                place, row = sum(now), []
-                for a, b in zip(now, then):
-                    row.append(place)
-                    place += b - a
-                shares[w] = row, now, then
-            return shares[w]
-
-        for frame in frames:
-            out: list[tuple] = []
-            for key, name, at, ids in zip(frame["doc_id"], frame["source"], frame["at"], frame["ids"]):
-                i = index[None if pd.isna(name) else name]
-                at, n, done = int(at), len(ids) // 4, 0
-                key = None if pd.isna(key) else int(key)
-                while done < n:
-                    base, now, then = share((schedule.place_of(i, at + done) - 1) // window)
-                    place = base[i] + at + done - now[i]
-                    room = min(n - done, then[i] - at - done, length - place % length)
-                    part = ids[4 * done : 4 * (done + room)]
-                    out.append((key, done, room, zlib.crc32(part), n, place // length, place % length, *([bytes(part)] if with_ids else [])))
-                    done += room
-            made = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-            yield made.astype({"doc_id": "Int64"})
+    index = {name: i for i, (name, _) in enumerate(totals)}
+    cutter = Cutter(Schedule([n for _, n in totals], weights_of(totals, targets)), length, window or length, quantum)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, 3):
+                queue = np.array([index[s] for s in part.column(1).to_pylist()], np.int64)
+                bytes_ = pc.binary_length(part.column(3)).to_numpy(zero_copy_only=False).astype(np.int64)
+                doc, start, size, place = cutter.pieces(queue, part.column(2).to_numpy(), bytes_ // 4)
+                raw = memoryview(b"".join(part.column(3).to_pylist()))
+                low = 4 * start + (np.cumsum(bytes_) - bytes_)[doc]
+                spans = list(zip(low.tolist(), (low + 4 * size).tolist()))
+                sums = [zlib.crc32(raw[a:b]) for a, b in spans]
+                columns = [part.column(0).take(pa.array(doc)), start, size, pa.array(sums, pa.int64()), bytes_[doc] // 4, place // length, place % length]
+                columns += [pa.array([bytes(raw[a:b]) for a, b in spans], pa.binary())] * with_ids
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names)
 
     schema = (
         "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
         + ", ids binary" * with_ids
     )
-    return placed.mapInPandas(work, schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return placed.mapInArrow(work, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:

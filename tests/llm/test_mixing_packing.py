@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.llm import mixing, packing
+from labelloom.llm import mixing, packing, tokens
 from labelloom.llm.op4 import op4_mix_sources
 from labelloom.llm.op5 import tokenizer_path
 from tests.llm.helpers import SF, awkward_documents, documents, empty_documents
@@ -79,39 +79,67 @@ def test_mix_of_nothing(spark):
 # --- packing ---
 
 
+class Fresh:
+    """The tokenizer file as its own library reads it."""
+
+    def __init__(self):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path())
+
+    def whole(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @pytest.fixture(scope="module")
 def encoder():
-    return packing.Encoder(tokenizer_path())
+    return Fresh()
 
 
-def test_units_give_the_tokenizers_ids(encoder):
+@pytest.fixture(scope="module")
+def batched():
+    return tokens.ByteTokenizer(tokenizer_path())
+
+
+def test_units_give_the_tokenizers_ids(encoder, batched):
     odd = [
         "", " ", "  ", "   a b", " a\n \n b", "a  b", "a   b \t c", "x \n", "x\n ", "  a  b", "a\x00b c",
         "it's he'll 12 3,4 <|endoftext|> z", " a\x85 b", "\x1c \x1d a", "a \x1cb", "a\n\nb", "\na b\n", "a!!. b",
         "a_.b _, c", "a .b ,c\n.d", "3.14,x", "a..b", "a., b", "a.\n", "é.è, ñ", "a\r\nb", "x\n\ty", "'s's.'t", "²., ½,",
     ]
     rnd = random.Random(3)
-    odd += ["".join(rnd.choice("ab ,.\n\t!é'_1") for _ in range(rnd.randint(1, 30))) for _ in range(2000)]
-    for text, ids in zip(odd, encoder.batch(odd)):
-        assert ids == encoder.whole(text), repr(text)
+    odd += ["".join(rnd.choice("ab ,.\n\t!é'_1\u3000\u2003\xa0\x85\x1c\r漢😀²") for _ in range(rnd.randint(1, 30))) for _ in range(4000)]
+    for text, ids in zip(odd, batched.batch(odd)):
+        assert ids.tobytes() == encoder.whole(text), repr(text)
+    for text in odd[:500]:
+        assert batched.ids(text).tobytes() == encoder.whole(text), repr(text)
 
 
-def test_added_tokens_have_the_files_own_ids(encoder):
-    from tokenizers import Tokenizer
-
-    fresh = Tokenizer.from_file(tokenizer_path())
+def test_added_tokens_have_the_files_own_ids(encoder, batched):
     texts = ["a b <|endoftext|> c", "<|endoftext|>", "x.<|endoftext|>, y\nz", "<|endoftext |> a", "<|endof text|>", "plain words, no more."]
-    for text, ids in zip(texts, encoder.batch(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, text
-    assert 50256 in np.frombuffer(encoder.batch(texts)[0], "<u4")
+    for text, ids in zip(texts, batched.batch(texts)):
+        assert ids.tobytes() == encoder.whole(text), text
+    assert 50256 in batched.batch(texts)[0]
 
 
-def test_a_small_memo_changes_nothing(encoder, monkeypatch):
-    monkeypatch.setattr(packing, "MEMO_ENTRIES", 20)
-    fresh = packing.Encoder(tokenizer_path())
+def test_a_small_memo_and_long_texts_change_nothing(encoder, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 2000)
+    monkeypatch.setattr(tokens, "LONG_BYTES", 300)
+    fresh = tokens.ByteTokenizer(tokenizer_path())
     for at in range(10):
-        texts = [f"alpha{at} beta{i} gamma delta{i * at}." for i in range(20)]
-        assert fresh.batch(texts) == [encoder.whole(t) for t in texts]
+        texts = [f"alpha{at} beta{i} gamma delta{i * at}." * (1 + 20 * (i == 7)) for i in range(20)]
+        assert [x.tobytes() for x in fresh.batch(texts)] == [encoder.whole(t) for t in texts]
+
+
+def test_units_of_one_hash_are_told_apart(monkeypatch):
+    data = np.frombuffer(b"ab cd ab xy cd", np.uint8)
+    starts = tokens.unit_starts(data, np.array([0]))
+    first, which = tokens.equal_units(data, starts)
+    assert starts.tolist() == [0, 2, 5, 8, 11] and (first[which] == [0, 1, 2, 3, 1]).all()
+    zero = np.zeros(1 << 21, np.uint64)
+    monkeypatch.setattr(tokens, "_powers", lambda size: (zero[:size], zero[:size]))
+    first, which = tokens.equal_units(data, starts)
+    assert (first == which).all() and len(first) == 5
 
 
 def check_pieces(docs, pieces, encoder, length=packing.SEQUENCE):
@@ -153,10 +181,10 @@ def test_awkward_rows_are_packed(spark, encoder):
 def test_windows_hold_the_mixture(spark):
     texts = ["alpha beta gamma delta " * 40] * 90 + ["one two three four five " * 40] * 30
     docs = documents(spark, texts).withColumn("source", F.when(F.col("doc_id") < 90, "a").otherwise("b")).repartition(4)
-    tokens = packing.stored(packing.tokenized(docs, tokenizer_path()), "t")
-    pieces = packing.pack(tokens, length=64, window=640)
+    made = packing.stored(packing.tokenized(docs, tokenizer_path()), "t")
+    pieces = packing.pack(made, length=64, window=640, quantum=1)
     owner = docs.select("doc_id", "source")
-    totals = {r.source: r.n for r in tokens.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    totals = {r.source: r.n for r in made.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     share = totals["a"] / sum(totals.values())
     windows = (
         pieces.join(owner, "doc_id").withColumn("w", F.floor((F.col("sequence_id") * 64 + F.col("offset")) / 640))
@@ -196,7 +224,7 @@ def test_targets_hold_in_every_sequence_until_a_queue_ends(spark, encoder):
     name = F.when(F.col("doc_id") < 90, "a").when(F.col("doc_id") < 120, "b")
     docs = documents(spark, texts).withColumn("source", name).repartition(4)
     targets = {"a": 0.25, "b": 0.25, None: 0.5}
-    pieces = packing.pack_documents(docs, tokenizer_path(), length=64, targets=targets).collect()
+    pieces = packing.pack_documents(docs, tokenizer_path(), length=64, targets=targets, quantum=1).collect()
     check_pieces(docs, pieces, encoder, 64)
     by_sequence = {}
     for p in pieces:
@@ -217,3 +245,70 @@ def test_a_sequence_holds_the_corpus_mixture(spark):
     docs = documents(spark, ["alpha beta gamma delta " * 300] * 8).withColumn("source", F.when(F.col("doc_id") < 4, "a").otherwise("b"))
     for r in packing.pack_documents(docs, tokenizer_path()).filter("length > 600").collect():
         raise AssertionError(r)
+
+
+def test_products_beyond_64_bits():
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(2**44), rnd.randrange(2**46), rnd.randrange(1, 2**50)) for _ in range(20_000)]
+    rows = [(a, b, c) for a, b, c in rows if a * b // c < 2**50]
+    rows += [(-a, b, c) for a, b, c in rows[:2000]] + [(2**44, 2**45, 2**45), (0, 5, 3), (7, 0, 3)]
+    a, b, c = (np.array(x, np.int64) for x in zip(*rows))
+    assert packing.mul_div(a, b, c).tolist() == [x * y // z for x, y, z in rows]
+
+
+@pytest.mark.parametrize("quantum", [1, 3, 8, 50])
+def test_quanta_match_plain_steps(quantum):
+    """Round by round: a queue sends the whole quanta of its credit, and all when it ends."""
+    rnd = random.Random(quantum)
+    for _ in range(25):
+        sizes = [rnd.randint(1, 300) for _ in range(rnd.randint(1, 5))]
+        targets = {i: rnd.choice([0.1, 0.25, 1, 2, 3.5]) for i in range(len(sizes))}
+        plan = packing.Schedule(sizes, packing.weights_of(list(enumerate(sizes)), targets))
+        window, length, total = 40, 16, sum(sizes)
+        sent, stream = [0] * len(sizes), []
+        for place in [*range(window, total, window), total]:
+            credit = plan.spent(place)
+            for i, n in enumerate(sizes):
+                upto = n if credit[i] == n else credit[i] // quantum * quantum
+                stream += [(i, t) for t in range(sent[i], upto)]
+                sent[i] = upto
+        assert sent == sizes
+        # Queues are cut into documents; each token is where the plain stream has it.
+        docs = []
+        for i, n in enumerate(sizes):
+            at = 0
+            while at < n:
+                take = min(n - at, rnd.randint(1, 90))
+                docs.append((i, at, take))
+                at += take
+        rnd.shuffle(docs)
+        queue, at, n = (np.array(x, np.int64) for x in zip(*docs))
+        placed = {}
+        for d, start, size, place in zip(*(x.tolist() for x in packing.Cutter(plan, length, window, quantum).pieces(queue, at, n))):
+            assert place // length == (place + size - 1) // length
+            for k in range(size):
+                placed[place + k] = (docs[d][0], docs[d][1] + start + k)
+        assert [placed[p] for p in range(total)] == stream
+
+
+def test_deficits_are_carried_over_rounds(spark, encoder):
+    """A small source speaks in whole quanta, every few sequences, and has its share to within one over any run."""
+    docs = documents(spark, ["alpha beta gamma delta " * 100] * 60).withColumn("source", F.when(F.col("doc_id") < 57, "a").otherwise("b")).repartition(4)
+    pieces = packing.pack_documents(docs, tokenizer_path(), length=64, quantum=16).collect()
+    check_pieces(docs, pieces, encoder, 64)
+    held = Counter()
+    for p in pieces:
+        if p.doc_id >= 57:
+            held[p.sequence_id] += p.length
+    last = max(p.sequence_id for p in pieces)
+    share, upto = 3 / 60, 0
+    for k in range(last):
+        upto += held[k]
+        assert abs(upto - share * 64 * (k + 1)) <= 16 + 64
+    assert len(held) < last / 2
+
+
+def test_few_pieces_a_sequence(spark):
+    pieces = packing.pack_documents(spark.read.parquet(f"{SF}/documents.parquet"), tokenizer_path())
+    n = pieces.agg(F.count(F.lit(1)).alias("n"), F.max("sequence_id").alias("last")).first()
+    assert n["n"] / (n["last"] + 1) < 9

@@ -13,7 +13,7 @@ from labelloom.llm.queries import QUERIES
 from tests.compare import compare, connect
 from tests.llm.helpers import SF, awkward_documents, empty_documents
 from tests.llm.test_lines import plain_dedup
-from tests.llm.test_mixing_packing import check_pieces
+from tests.llm.test_mixing_packing import Fresh, check_pieces
 from tests.llm.test_near_duplicates import classes_of, plain_fingerprint
 
 
@@ -82,7 +82,7 @@ def test_mixing_stage_takes_its_targets(stages):
 
 def test_packing_stage_holds_every_token(stages):
     docs, pieces = stages[4]
-    check_pieces(docs, pieces.collect(), packing.Encoder(tokenizer_path()))
+    check_pieces(docs, pieces.collect(), Fresh())
 
 
 def test_run_gives_the_rows_of_its_stages(spark, stages):
