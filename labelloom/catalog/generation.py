@@ -11,6 +11,7 @@ from labelloom.functions import text as X
 from labelloom.functions.hashing import pick, row_key
 from labelloom.operators import generate as G
 from labelloom.operators import translate as R
+from labelloom.plans.ledger import Ledger
 from labelloom.plans.shared import settle
 
 registry = Registry()
@@ -234,10 +235,11 @@ def gen_language_rows(spark, sf_dir):
 # --- translation ---
 
 # A phrase memory over the documents: half of the texts are translated, a quarter failed, the rest are unknown.
-MEMORY_SQL = """
+FOREIGN_SQL = """
 foreign_rows AS (
   SELECT doc_id || '|' || target_language AS row_key, text, target_language
-  FROM documents, (SELECT unnest(['en', 'es', 'fr']) AS target_language)),
+  FROM documents, (SELECT unnest(['en', 'es', 'fr']) AS target_language))"""
+MEMORY_SQL = f"""{FOREIGN_SQL},
 attempted AS (
   SELECT *, CASE WHEN target_language = 'en' THEN 'passed' WHEN md5(text) < '8' THEN 'translated'
             WHEN md5(text) < 'c' THEN 'failed' ELSE 'error' END AS status FROM foreign_rows),
@@ -290,6 +292,10 @@ def enrich_no_client(spark, sf_dir):
     return R.mark_failures(R.no_client(foreign_rows(spark, sf_dir))).select("row_key", "text")
 
 
+class Refused(Exception):
+    code = V.THROTTLED
+
+
 def echo_client():
     """A client that succeeds, is throttled for good, or breaks, by the text's digest."""
 
@@ -395,6 +401,87 @@ def retry_outcome(spark, sf_dir):
     return R.retry_outcome(attempts(spark, sf_dir))
 
 
+# A client that throttles some texts once, twice or always, by the first digit of their digest.
+class Unsupported(Exception):
+    code = "UnsupportedLanguagePairException"
+
+
+def moody_client(round_):
+    def call(text, source, target):
+        import hashlib
+
+        first = hashlib.md5(text.encode()).hexdigest()[0]
+        if round_ < {"8": 1, "9": 1, "a": 2, "b": 3}.get(first, 0):
+            raise Refused("Rate exceeded")
+        if first in "cd":
+            raise Unsupported("bad pair")
+        if first in "ef":
+            raise RuntimeError("no such phrase")
+        return f"{target}> {text}"
+
+    return call
+
+
+LOG_SQL = f"""{FOREIGN_SQL},
+kinds AS (
+  SELECT *, substring(md5(text), 1, 1) AS h,
+         CASE substring(md5(text), 1, 1) WHEN '8' THEN 1 WHEN '9' THEN 1 WHEN 'a' THEN 2 WHEN 'b' THEN 3 ELSE 0 END AS throttled
+  FROM foreign_rows WHERE target_language <> 'en'),
+log AS (
+  SELECT row_key AS item_id, attempt, CASE WHEN attempt < throttled OR h >= 'c' THEN 'failure' ELSE 'success' END AS status,
+         CASE WHEN attempt < throttled THEN 'ThrottlingException' WHEN h IN ('c', 'd') THEN 'UnsupportedLanguagePairException' END AS error_code,
+         CASE WHEN attempt < throttled THEN 'Rate exceeded' WHEN h IN ('c', 'd') THEN 'bad pair' WHEN h >= 'e' THEN 'no such phrase' END AS message,
+         CASE WHEN attempt >= throttled AND h < 'c' THEN target_language || '> ' || text END AS translated
+  FROM (SELECT *, unnest(range(0, least(throttled, 2) + 1)) AS attempt FROM kinds)),
+ended AS (
+  SELECT item_id, attempt + 1 AS n_attempts, CASE WHEN status = 'success' THEN 'translated' WHEN error_code IS NULL THEN 'error'
+         ELSE 'failed' END AS status, error_code, message, translated, (2 * (pow(2, attempt) - 1))::bigint AS waited_seconds
+  FROM log QUALIFY attempt = max(attempt) OVER (PARTITION BY item_id))"""
+
+
+def attempted(spark, sf_dir):
+    return R.attempt_in_rounds(foreign_rows(spark, sf_dir), moody_client, wait=no_wait)
+
+
+@registry.add("attempt_log", f"WITH {LOG_SQL} SELECT item_id, attempt, status, error_code, message, translated FROM log")
+def attempt_log(spark, sf_dir):
+    """Every attempt of a translation run in rounds."""
+    return attempted(spark, sf_dir).log
+
+
+@registry.add("retry_outcome_of_log", f"WITH {LOG_SQL} SELECT item_id, n_attempts, status, error_code, message, waited_seconds FROM ended")
+def retry_outcome_of_log(spark, sf_dir):
+    """What the library's own log of attempts comes to."""
+    return R.retry_outcome(attempted(spark, sf_dir).log)
+
+
+@registry.add("translate_in_rounds", f"""WITH {LOG_SQL}
+SELECT row_key, target_language, 'passed' AS status, NULL::varchar AS error_code, NULL::varchar AS message, NULL::varchar AS translated
+FROM foreign_rows WHERE target_language = 'en'
+UNION ALL SELECT row_key, target_language, ended.status, error_code, message, translated
+FROM foreign_rows JOIN ended ON item_id = row_key WHERE target_language <> 'en'""")
+def translate_in_rounds(spark, sf_dir):
+    return attempted(spark, sf_dir).outcomes.drop("text")
+
+
+def dated_client(name):
+    def open_client(round_):
+        return lambda text, source, target: f"{name} {target}> {text}"
+
+    return open_client
+
+
+@registry.add("translate_resumed", f"""WITH {FOREIGN_SQL}
+SELECT row_key, CASE WHEN target_language = 'en' THEN NULL WHEN md5(row_key) < '8' THEN 'early ' || target_language || '> ' || text
+                     ELSE 'late ' || target_language || '> ' || text END AS translated FROM foreign_rows""")
+def translate_resumed(spark, sf_dir):
+    """A run over a ledger that an earlier run filled in part: what it has is not asked for again."""
+    rows = foreign_rows(spark, sf_dir)
+    ledger = Ledger.fresh(spark)
+    R.attempt_in_rounds(rows.filter(F.md5("row_key") < "8"), dated_client("early"), wait=no_wait, ledger=ledger)
+    return R.attempt_in_rounds(rows, dated_client("late"), wait=no_wait, ledger=ledger).outcomes.select("row_key", "translated")
+
+
 @registry.add("translation_stats", f"""WITH {ATTEMPTS_SQL}
 SELECT attempted, successful, attempted - successful AS failed,
        CASE WHEN successful > 0 THEN round(successful / attempted * 100, 6) END AS success_rate

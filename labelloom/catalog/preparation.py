@@ -242,3 +242,29 @@ SELECT 'num_unique_categories' AS key, count(DISTINCT category_label)::double AS
 UNION ALL SELECT split || '_sample_count', count(*)::double FROM parts GROUP BY split""")
 def prepare_metrics(spark, sf_dir):
     return P.preparation_metrics(P.settle_prepared(P.prepare(raw_rows(spark, sf_dir), key="row_id")))
+
+
+# Rows that have no key: known by a digest of their columns. `documents` holds exact copies, which a cut can run through.
+KEYLESS_SQL = f"""{RAW_SQL},
+keyless AS (
+  SELECT md5(concat_ws(',', coalesce(md5(job_description_text), '-'), coalesce(md5(category_label), '-'))) AS row_id,
+         job_description_text, category_label FROM raw),{sql_split('keyless')}"""
+
+
+def keyless_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_rows(spark, sf_dir).select("job_description_text", "category_label")
+
+
+@registry.add("prepare_without_key", f"""WITH {KEYLESS_SQL},
+placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {sql_digest('row_id', 'split')}, row_id) AS place FROM parts)
+SELECT row_id, split, '{PREFIX}' || {sql_clean('job_description_text')} AS prompt, category_label AS true_label
+FROM placed WHERE place <= {CAP}""")
+def prepare_without_key(spark, sf_dir):
+    ready = P.prepare(keyless_rows(spark, sf_dir), cap=CAP)
+    return P.prompt_and_label(ready.conversations).select("row_id", "split", "prompt", "true_label")
+
+
+@registry.add("split_without_key", f"WITH {KEYLESS_SQL} SELECT job_description_text, category_label, split FROM parts")
+def split_without_key(spark, sf_dir):
+    """Every row, told apart by content alone."""
+    return S.split_rows(keyless_rows(spark, sf_dir), "category_label", None)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from labelloom.catalog.base import RAW_SQL, Registry, raw_rows, sql_split, sql_strip
+from labelloom.catalog.base import RAW_SQL, Registry, raw_rows, sql_digest, sql_split, sql_strip
 from labelloom.catalog.encoding import PROMPTS_SQL, test_prompts
 from labelloom.catalog.evaluation import rounded
 from labelloom.operators import evaluate as E
@@ -78,6 +78,27 @@ def batch_predict(spark, sf_dir):
     return scored.select("row_id", "true_label", "raw_output")
 
 
+def numbering_predictor():
+    """Tells for every prompt its place in the batch, the batch's size, and the first prompt's length."""
+
+    def predict(prompts):
+        return [f"{i} of {len(prompts)}, first {len(prompts[0])}" for i, _ in enumerate(prompts)]
+
+    return predict
+
+
+@registry.add("predict_in_batches", f"""WITH {PROMPTS_SQL},
+placed AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY {sql_digest('row_id', 'split')}, row_id) - 1 AS place,
+                  count(*) OVER (PARTITION BY batch_id) AS n FROM batched)
+SELECT row_id, batch_id, place || ' of ' || n || ', first ' || first_value(length(prompt)) OVER (PARTITION BY batch_id ORDER BY place)
+       AS raw_output FROM placed""")
+def predict_in_batches(spark, sf_dir):
+    """The batches that a predictor gets are those of `assign_batches`, whatever the tasks."""
+    return M.predict_in_batches(test_prompts(spark, sf_dir), "row_id", "prompt", numbering_predictor, 4, task_batches=5).select(
+        "row_id", "batch_id", "raw_output"
+    )
+
+
 # An output that lost a character of its prompt: the length rule then eats one of the label.
 CUT_SQL = f"CASE WHEN row_id % 3 = 0 THEN substring({OUTPUT_SQL}, 2) ELSE {OUTPUT_SQL} END"
 

@@ -19,6 +19,8 @@ from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import Settled, settle
 
 MAX_PIVOT_LABELS = 10_000
+MATRIX_BLOCK = 256
+MATRIX_TASKS = 4096
 METRICS = ["precision", "recall", "f1_score", "support"]
 
 
@@ -172,12 +174,37 @@ def confusion_matrix(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return pairs.join(known, "true_label", "left_semi").select("true_label", "predicted_label", "n")
 
 
-def confusion_dense(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Long matrix with a cell for every pair of vocabulary labels, zeros included."""
-    columns = F.array(*[F.lit(c) for c in label_list(vocabulary)])
-    cells = vocabulary.select(F.col("category").alias("true_label"), F.explode(columns).alias("predicted_label"))
-    filled = cells.join(pairs, ["true_label", "predicted_label"], "left")
-    return filled.select("true_label", "predicted_label", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+def confusion_dense(pairs: DataFrame, vocabulary: DataFrame, block: int = MATRIX_BLOCK) -> DataFrame:
+    """Long matrix with a cell for every pair of vocabulary labels, zeros included, for any number of labels.
+
+    `vocabulary` has (idx, category), numbered from 0; `pairs` has a pair at most once. Labels lie in blocks of `block`. Every block of rows
+    meets every block of columns once; there the codes of the cells that have a count are taken from all codes, and the
+    rest are the zeros. So nothing is collected and no cell is joined; the result has labels x labels rows.
+    """
+    spot = settle(vocabulary.select("category", F.floor(F.col("idx") / block).alias("_block"), (F.col("idx") % block).alias("_in")), "labels")
+    entry = F.struct("_in", "category")
+    blocks = settle(spot.df.groupBy("_block").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["category"]).alias("_labels")), "label-blocks")
+    rows = spot.df.select(F.col("category").alias("true_label"), F.col("_block").alias("_row"), F.col("_in").alias("_i"))
+    columns = spot.df.select(F.col("category").alias("predicted_label"), F.col("_block").alias("_column"), F.col("_in").alias("_j"))
+    as_rows, as_columns = Settled(rows, spot.rows, spot.nbytes), Settled(columns, spot.rows, spot.nbytes)
+    placed = lookup_join(pairs, as_rows, ["true_label"], ["predicted_label"], how="inner")
+    known = settle(lookup_join(placed, as_columns, ["predicted_label"], ["true_label"], how="inner"), "counted-cells").df
+    code = (F.col("_i") * block + F.col("_j")).cast("bigint")
+    held = known.groupBy("_row", "_column").agg(F.collect_list(code).alias("_held"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks.rows - 1).cast("bigint")) if blocks.rows else F.array().cast("array<bigint>")
+    grid = blocks.df.select(F.col("_block").alias("_row"), F.col("_labels").alias("_true"), F.explode(every).alias("_column"))
+    grid = grid.repartition(max(1, min(blocks.rows**2, MATRIX_TASKS)), "_row", "_column")
+    met = grid.join(blocks.df.select(F.col("_block").alias("_column"), F.col("_labels").alias("_predicted")), "_column")
+    met = met.join(held, ["_row", "_column"], "left")
+    ids = lambda labels: F.sequence(F.lit(0).cast("bigint"), (F.size(labels) - 1).cast("bigint"))
+    codes = F.flatten(F.transform(ids("_true"), lambda i: F.transform(ids("_predicted"), lambda j: i * block + j)))
+    none = F.array().cast("array<bigint>")
+    zeros = met.select("_true", "_predicted", F.explode(F.array_except(codes, F.coalesce("_held", none))).alias("_code")).select(
+        F.get("_true", F.floor(F.col("_code") / block).cast("int")).alias("true_label"),
+        F.get("_predicted", (F.col("_code") % block).cast("int")).alias("predicted_label"),
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    return known.select("true_label", "predicted_label", "n").unionByName(zeros)
 
 
 def confusion_wide(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -190,7 +217,7 @@ def confusion_wide(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def label_list(vocabulary: DataFrame) -> list[str]:
-    """Vocabulary in order, on the driver; only for layouts with a column per label."""
+    """Vocabulary in order, on the driver; only for the layout with a column per label."""
     rows = vocabulary.orderBy("idx").select("category").take(MAX_PIVOT_LABELS + 1)
     if len(rows) > MAX_PIVOT_LABELS:
         raise ValueError(f"more than {MAX_PIVOT_LABELS} labels: use the long confusion matrix")

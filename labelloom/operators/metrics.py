@@ -98,18 +98,28 @@ def best_checkpoint(metrics: DataFrame, metric: str = "eval_loss", save_every: i
     ).filter(F.col("best_step").isNotNull())
 
 
-def parse_config(df: DataFrame, col: str) -> DataFrame:
-    """A JSON-text configuration column as a map; a map column is left as it is."""
+def parse_config(df: DataFrame, col: str, mode: str = "FAILFAST") -> DataFrame:
+    """A JSON-text configuration column as a map; a map column is left as it is.
+
+    Text that is no JSON object fails the job that reads it (`mode="PERMISSIVE"` makes it null); a null stays null.
+    """
     if isinstance(df.schema[col].dataType, T.StringType):
-        return df.withColumn(col, F.from_json(F.col(col), "map<string,string>"))
+        text = F.col(f"`{col}`")
+        parsed = F.from_json(text, "map<string,string>", {"mode": mode})
+        if mode == "FAILFAST":
+            # A text that is empty, or another kind of JSON than an object, is not malformed to the parser.
+            parsed = F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(
+                F.raise_error(F.concat(F.lit("configuration is no JSON object: "), F.substring(text, 1, 200))).cast("map<string,string>")
+            )
+        return df.withColumn(col, parsed)
     return df
 
 
-def flatten_params(df: DataFrame, config: str, prefix: str) -> DataFrame:
+def flatten_params(df: DataFrame, config: str, prefix: str, mode: str = "FAILFAST") -> DataFrame:
     """(key, value) rows of a configuration map, keys prefixed."""
     others = [c for c in df.columns if c != config]
     entries = F.explode(config).alias("key", "value")
-    return parse_config(df, config).select(*others, entries).withColumn("key", F.concat(F.lit(prefix), F.col("key")))
+    return parse_config(df, config, mode).select(*others, entries).withColumn("key", F.concat(F.lit(prefix), F.col("key")))
 
 
 def run_metrics(metrics: DataFrame, run_id: str, stage: str) -> DataFrame:

@@ -12,7 +12,7 @@ from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED
 from labelloom.functions.text import build_prompt, clean_text, coerce_text
 from labelloom.operators.split import cap_cuts, check_strata, split_cuts, train_vocabulary
-from labelloom.plans.ordering import with_row_id
+from labelloom.plans.ordering import content_digest
 from labelloom.plans.shared import settle
 from labelloom.schemas import LABEL_COLUMN, TEXT_COLUMN
 
@@ -102,19 +102,21 @@ def prepare(
 ) -> Prepared:
     """Check, split, cap and format raw rows; collect the training vocabulary.
 
-    Without `key`, rows are numbered first. The source is read twice: once for a narrow table of
+    Without `key`, rows are known by a digest of their content, as `row_id`; equal rows share it, and are shared out as quotas and cap
+    ask. The source is read twice: once for a narrow table of
     keys and labels, from which split, cap and vocabulary are decided, once for the texts.
     """
     check_columns(df, text_col, label_col)
+    repeats = key is None
     if key is None:
-        df, key = with_row_id(df), "row_id"
+        df, key = df.withColumn("row_id", content_digest(df)), "row_id"
     names = list(dict.fromkeys([key, label_col, *([group_key] if group_key else [])]))
     narrow = settle(df.select(*names), "labels").df
     check_strata(narrow, label_col, test, val, group_key)
-    splits = split_cuts(narrow, label_col, key, test, val, group_key=group_key, seed=seed)
+    splits = split_cuts(narrow, label_col, key, test, val, group_key=group_key, seed=seed, repeats=repeats)
     marked, parts = splits.mark(narrow), splits.mark(df)
     if cap:
-        caps = cap_cuts(marked, key, cap, seed)
+        caps = cap_cuts(marked, key, cap, seed, repeats)
         marked, parts = caps.keep(marked), caps.keep(parts)
     # `to_messages` builds exactly two messages, so there is nothing for `filter_valid` to drop here.
     conversations = project_messages(to_messages(parts, text_col, label_col), key, "split")

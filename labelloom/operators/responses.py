@@ -7,7 +7,7 @@ because how many rows are still needed depends on what earlier calls returned.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,8 @@ from labelloom.functions.hashing import DEFAULT_SEED, row_key
 from labelloom.functions.text import strip
 from labelloom.operators.generate import global_shuffle
 from labelloom.plans.joins import lookup_join
-from labelloom.plans.ordering import first_n_per_group
+from labelloom.plans.ledger import AT_ONCE, Ask, Ledger, record_calls
+from labelloom.plans.ordering import first_in_order
 from labelloom.plans.shared import Settled, settle
 from labelloom.schemas import LABEL_COLUMN, TEXT_COLUMN
 
@@ -93,36 +94,39 @@ def render_requests(plan: DataFrame) -> DataFrame:
 
 
 def call_model(
-    requests: DataFrame, open_client: Callable[[], Callable[[str], str]], callers: int | None = None
+    requests: DataFrame, open_client: Callable[[], Callable[[str], str]], callers: int | None = None, ledger: Ledger | None = None,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
-    """One call per request, a client per partition: the request's columns, `response` and `error`.
+    """One call per request, a client per task: the request's columns, `response` and `error`.
 
+    Answers are written to a ledger as they come (default: a new one), under the request's id, and read from there
+    when a task, or the result, is computed again; over the ledger of an earlier run only what it lacks is asked. A killed
+    process can lose the `at_once` answers that it is gathering.
     Calls are slow and request tables small, so the requests are spread over
     `callers` tasks (default: the cluster's parallelism).
-    A failing call gives its error instead of a response. Write the result before
-    using it twice: computing it again repeats the calls.
+    A failing call gives its error instead of a response.
     """
-    kept = [f for f in requests.schema.fields if f.name not in ("prompt", "body")]
-    names = [f.name for f in kept]
+    kept = [c for c in requests.columns if c not in ("prompt", "body")]
     text = T.StringType()
 
-    def run(batches: Iterator) -> Iterator:
+    def open_asker() -> Ask:
         client = None
-        for batch in batches:
-            answers, errors = [], []
-            for body in batch["body"]:
-                try:
-                    client = client or open_client()
-                    answers.append(client(body))
-                    errors.append(None)
-                except Exception as problem:
-                    answers.append(None)
-                    errors.append(str(problem))
-            yield batch[names].assign(response=answers, error=errors)
-
-    schema = T.StructType([*kept, T.StructField("response", text), T.StructField("error", text)])
-    tasks = callers or requests.sparkSession.sparkContext.defaultParallelism
-    return requests.select(*names, "body").repartition(tasks, "request_id").mapInPandas(run, schema)
+
+        def one(body: str) -> tuple[str | None, str | None]:
+            nonlocal client
+            try:
+                client = client or open_client()
+                return client(body), None
+            except Exception as problem:
+                return None, str(problem)
+
+        return lambda rows: [one(body) for (body,) in rows]
+
+    spark = requests.sparkSession
+    kept_in = ledger or Ledger.fresh(spark)
+    answer = T.StructType([T.StructField("response", text), T.StructField("error", text)])
+    answers = record_calls(requests, "request_id", ["body"], answer, open_asker, kept_in, at_once, callers)
+    return requests.select(*[F.col(f"`{c}`") for c in kept]).join(answers, "request_id").select(*kept, "response", "error")
 
 
 def extract_generation(body: Column) -> Column:
@@ -149,8 +153,8 @@ def parse_delimited(
 
 
 def quota_cap(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
-    """First `n` rows of each combination in arrival order."""
-    return first_n_per_group(rows, group, order, n, row_key=order)
+    """First `n` rows of each combination in arrival order; texts are not moved."""
+    return first_in_order(rows, group, order, n)
 
 
 def union_raw(*frames: DataFrame) -> DataFrame:
@@ -165,13 +169,16 @@ def generate_from_model(
     n: int = V.RESPONSE_ROWS_PER_LANGUAGE,
     k: int = V.ROWS_PER_REQUEST,
     seed: int = DEFAULT_SEED,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Raw rows (text, label) made by a model, up to `n` per combination, in one seeded random order.
 
+    All calls are kept in `ledger` (default: a new one); a run that is started again over it asks for what it lacks only.
     Each round asks for what is missing, writes the answers and counts again; there
     are at most `n // k + 3` rounds, and one when every answer is full.
     """
     combos = settle(combinations(categories, list(languages or V.RESPONSE_LANGUAGES)), "combinations").df
+    ledger = ledger or Ledger.fresh(categories.sparkSession)
     rounds: list[DataFrame] = []
     done: Settled | None = None
     for _ in range(n // k + V.EXTRA_ATTEMPTS):
@@ -179,7 +186,7 @@ def generate_from_model(
         if plan.rows == 0:
             break
         texts = delimited_parts(extract_generation(F.col("response")))
-        answers = call_model(render_requests(plan.df), open_client).select(
+        answers = call_model(render_requests(plan.df), open_client, ledger=ledger).select(
             *COMBINATION, "attempt", F.coalesce(texts, F.array().cast("array<string>")).alias("texts")
         )
         rounds.append(settle(answers.withColumn("n_texts", F.size("texts").cast("bigint")), "answers").df)

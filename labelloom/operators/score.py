@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
@@ -14,10 +18,14 @@ from pyspark.sql import types as T
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED
 from labelloom.functions.text import strip
-from labelloom.operators.split import split_order
-from labelloom.plans.ordering import number_rows
+from labelloom.operators.split import SALT, split_order
+from labelloom.plans.joins import lookup_join
+from labelloom.plans.ledger import LEASE_SECONDS, Ask, Ledger, Slice, runs_side_by_side
+from labelloom.plans.ordering import number_rows, rank_parts
+from labelloom.plans.shared import fresh_path, settle
 
 FEATURES = 1 << 14
+TASK_BATCHES = 64
 
 
 def train_classifier(
@@ -82,10 +90,74 @@ def batch_predict(
 
 
 def assign_batches(df: DataFrame, key: str, batch_size: int = V.SCORING_BATCH, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Append `batch_id`: consecutive mini-batches in reading order, from 0."""
-    numbered = number_rows(df, split_order(key, seed), "_number")
-    batch = F.floor((F.col("_number") - 1) / batch_size).cast("bigint")
-    return numbered.withColumn("batch_id", batch).drop("_number")
+    """Append `batch_id`: consecutive mini-batches in reading order, from 0.
+
+    Only keys are sorted and numbered; rows get their number by `key`, which is unique.
+    """
+    keys = df.select(F.col(f"`{key}`").alias("_key"))
+    numbered = number_rows(keys, split_order("_key", seed), "_number")
+    numbers = settle(numbered.select("_key", F.floor((F.col("_number") - 1) / batch_size).cast("bigint").alias("batch_id")), "batches")
+    return lookup_join(df.withColumn("_key", F.col(f"`{key}`")), numbers, ["_key"], [key], null_safe=True).drop("_key")
+
+
+def predict_in_batches(
+    df: DataFrame,
+    key: str,
+    prompt_col: str,
+    open_predictor: Callable[[], Callable[[list[str]], list[str]]],
+    batch_size: int = V.SCORING_BATCH,
+    seed: int = DEFAULT_SEED,
+    ledger: Ledger | None = None,
+    task_batches: int = TASK_BATCHES,
+) -> DataFrame:
+    """Append `batch_id` and `raw_output`: the predictor gets exactly the batches of `assign_batches`, whatever the tasks.
+
+    Runs of `task_batches` whole batches are decided from the keys alone; prompts are moved once, each to its run's task. The answers
+    of a batch are kept in `ledger` (default: a new one) under its number and a digest of its prompts, so neither a
+    task that is tried again nor a run over the same ledger repeats a batch. `key` is unique.
+    """
+    spark = df.sparkSession
+    runs = rank_parts(df, key, batch_size * task_batches, SALT, seed)
+    kept = ledger or Ledger.open(fresh_path(spark, "ledger"), 0, max(1, runs.count))
+    side_by_side = runs_side_by_side(spark)
+    placed = runs.place(df, "_run")
+    schema = T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("raw_output", T.StringType())])
+    answer = pa.schema([("batch", pa.string()), ("outputs", pa.list_(pa.string()))])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        predictor: list = []
+
+        def open_asker() -> Ask:
+            predict = open_predictor()
+            return lambda asked: [(list(predict(list(prompts))),) for (prompts,) in asked]
+
+        def scored(number: int, batch: pd.DataFrame) -> pd.DataFrame:
+            prompts = batch[prompt_col].tolist()
+            name = f"{number}-{md5(json.dumps(prompts).encode()).hexdigest()}"
+            of = Slice(kept, number // task_batches % kept.slices, answer, LEASE_SECONDS, side_by_side)
+            try:
+                if of.take({name}):
+                    of.ask([(name, prompts)], open_asker, predictor, 1)
+            finally:
+                of.leave()
+            return batch.drop(columns=["_run", "_digest"]).assign(batch_id=number, raw_output=of.known[name][0])
+
+        at, count, left = None, 0, None
+        for frame in frames:
+            for run_id, part in frame.groupby("_run", sort=False):
+                if run_id != at:
+                    if left is not None and len(left):
+                        yield scored(at * task_batches + count, left)
+                    at, count, left = run_id, 0, None
+                left = part if left is None else pd.concat([left, part])
+                while len(left) >= batch_size:
+                    yield scored(at * task_batches + count, left.iloc[:batch_size])
+                    count, left = count + 1, left.iloc[batch_size:]
+        if left is not None and len(left):
+            yield scored(at * task_batches + count, left)
+
+    dealt = placed.repartition(max(1, runs.count), "_run").sortWithinPartitions("_run", "_digest", key)
+    return dealt.mapInPandas(run, schema)
 
 
 def extract_prediction(raw_output: Column, prompt: Column, strip_mode: str = "length") -> Column:

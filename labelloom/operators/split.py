@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from labelloom.functions import fixed_values as V
 from labelloom.functions.hashing import DEFAULT_SEED, digest
 from labelloom.plans.joins import lookup_join
-from labelloom.plans.ordering import FirstCuts, at_or_before, first_cuts, number_rows, permutation_cuts, rank_index
+from labelloom.plans.ordering import (
+    FirstCuts, at_or_before, content_digest, copies_at_cuts, first_cuts, number_rows, permutation_cuts, rank_index, share_copies,
+)
 from labelloom.plans.shared import Settled, settle
 
 SALT = "split"
@@ -64,7 +66,7 @@ def _allot(classes: DataFrame, label: str, size: str, held_out: float, name: str
 def split_rows(
     df: DataFrame,
     label: str,
-    key: str,
+    key: str | None,
     test: float = V.TEST_FRACTION,
     val: float = V.VALIDATION_FRACTION,
     group_key: str | None = None,
@@ -73,10 +75,14 @@ def split_rows(
 ) -> DataFrame:
     """Append `split` in (train, validation, test).
 
-    `key` is unique per row. With `group_key`, all rows of a (label, group) stay
+    `key` is unique per row; without one (None) rows are known by a digest of their content, and equal rows are
+    shared out as the quotas ask. With `group_key`, all rows of a (label, group) stay
     together and quotas count groups.
     """
-    return split_cuts(df, label, key, test, val, group_key, stratify, seed).mark(df)
+    if key is not None:
+        return split_cuts(df, label, key, test, val, group_key, stratify, seed).mark(df)
+    known = df.withColumn("_content", content_digest(df))
+    return split_cuts(known, label, "_content", test, val, group_key, stratify, seed, repeats=True).mark(known).drop("_content")
 
 
 @dataclass(frozen=True)
@@ -88,6 +94,7 @@ class SplitCuts:
     stratify: bool
     seed: int
     cuts: Settled
+    shared: Settled | None = None
 
     def mark(self, df: DataFrame) -> DataFrame:
         joined = lookup_join(_tagged(df, self.label, self.unit, self.stratify, self.seed), self.cuts, ["_stratum"], [self.unit], null_safe=True)
@@ -96,7 +103,7 @@ class SplitCuts:
             .when(at_or_before("_digest", "_tie", "_validation_digest", "_validation_tie"), "validation")
             .otherwise("train")
         )
-        return joined.select(*[F.col(f"`{c}`") for c in df.columns], part.alias("split"))
+        return share_copies(joined.withColumn("split", part), df.columns, ["_stratum"], self.shared, "split")
 
 
 def _tagged(df: DataFrame, label: str, unit: str, stratify: bool, seed: int) -> DataFrame:
@@ -113,18 +120,35 @@ def split_cuts(
     group_key: str | None = None,
     stratify: bool = True,
     seed: int = DEFAULT_SEED,
+    repeats: bool = False,
 ) -> SplitCuts:
-    """Cuts from one narrow pass over `df`."""
+    """Cuts from one narrow pass over `df`. With `repeats`, rows that share a key are equal, and a cut can run through them."""
     unit = group_key or key
     units = _tagged(df, label, unit, stratify, seed).select("_stratum", "_digest", "_tie")
     units = settle(units.distinct() if group_key else units, "split-units").df
     index = rank_index(units, ["_stratum"])
     quotas = class_quotas(index.totals.df, "_stratum", test, val)
     ranks = {"test": F.col("n_test"), "validation": F.col("n_test") + F.col("n_validation")}
-    return SplitCuts(label, unit, stratify, seed, permutation_cuts(index, quotas, ranks))
-
-
-def hold_out(df: DataFrame, label: str, key: str, fraction: float = V.TEST_FRACTION, **options) -> DataFrame:
+    cuts = permutation_cuts(index, quotas, ranks)
+    shared = _shared_copies(units, cuts, quotas) if repeats and not group_key else None
+    return SplitCuts(label, unit, stratify, seed, cuts, shared)
+
+
+def _shared_copies(units: DataFrame, cuts: Settled, quotas: DataFrame) -> Settled:
+    """(_stratum, _tie, _part, _times): how many equal rows go to each part, where not all go to one."""
+    found = copies_at_cuts(units, cuts, ["_stratum"], ["test", "validation"]).select("_stratum", "_tie", "_before", "_copies").distinct()
+    sizes = quotas.select(F.col("_stratum").alias("_of"), "n_test", (F.col("n_test") + F.col("n_validation")).alias("_held"))
+    ranked = found.join(sizes, F.col("_stratum").eqNullSafe(F.col("_of")))
+    end = F.col("_before") + F.col("_copies")
+    upto = lambda rank: F.greatest(F.least(F.col(rank), end) - F.col("_before"), F.lit(0))
+    test, held = upto("n_test"), upto("_held")
+    parts = [("test", test), ("validation", held - test), ("train", F.col("_copies") - held)]
+    listed = F.array(*[F.struct(F.lit(p).alias("_part"), n.cast("bigint").alias("_times")) for p, n in parts])
+    some = ranked.withColumn("_parts", F.filter(listed, lambda x: x["_times"] > 0)).filter(F.size("_parts") > 1)
+    return settle(some.select("_stratum", "_tie", F.inline("_parts")), "shared-copies")
+
+
+def hold_out(df: DataFrame, label: str, key: str | None, fraction: float = V.TEST_FRACTION, **options) -> DataFrame:
     """One stratified hold-out: `split` in (train, test)."""
     return split_rows(df, label, key, test=fraction, val=0.0, **options)
 
@@ -193,8 +217,8 @@ def cap_splits(df: DataFrame, key: str, n: int | None, seed: int = DEFAULT_SEED)
     return cap_cuts(df, key, n, seed).keep(df) if n else df
 
 
-def cap_cuts(df: DataFrame, key: str, n: int, seed: int = DEFAULT_SEED) -> FirstCuts:
-    return first_cuts(df, ["split"], n, key, SALT, seed)
+def cap_cuts(df: DataFrame, key: str, n: int, seed: int = DEFAULT_SEED, repeats: bool = False) -> FirstCuts:
+    return first_cuts(df, ["split"], n, key, SALT, seed, repeats)
 
 
 def split_order(key: str, seed: int = DEFAULT_SEED) -> list[Column]:

@@ -8,6 +8,8 @@ final `text`.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from pyspark.sql import types as T
 
 from labelloom.functions import fixed_values as V
 from labelloom.plans.joins import lookup_join
+from labelloom.plans.ledger import AT_ONCE, Ask, Ledger, record_calls
+from labelloom.plans.shared import settle
 
 OUTCOME = ["status", "error_code", "message", "translated"]
 
@@ -39,20 +43,21 @@ def translate_from_memory(rows: DataFrame, memory: DataFrame, row_key: str) -> D
     """Look every foreign row up in a phrase memory.
 
     `memory` has (source_text, target_language, translated, error_code, message),
-    one row per text and language; a text that is not there is an error.
+    one row per text and language; a text that is not there is an error. Texts are known by
+    digest and length, and do not go through the join.
     """
     texts = memory.select(
-        F.md5("source_text").alias("_digest"),
+        F.sha2("source_text", 256).alias("_digest"),
         "target_language",
-        F.col("source_text").alias("_source"),
+        F.length("source_text").alias("_length"),
         F.col("translated").alias("_translated"),
         F.col("error_code").alias("_code"),
         F.col("message").alias("_message"),
     )
     # Rows in the source language need no lookup: a null digest matches nothing.
-    keyed = rows.withColumn("_digest", F.when(_foreign(), F.md5("text")))
+    keyed = rows.withColumn("_digest", F.when(_foreign(), F.sha2("text", 256)))
     found = lookup_join(keyed, texts, ["_digest", "target_language"], [row_key])
-    hit = F.col("_source") == F.col("text")
+    hit = F.col("_length") == F.length("text")
     status = (
         F.when(~_foreign(), "passed")
         .when(hit & F.col("_translated").isNotNull(), "translated")
@@ -80,7 +85,7 @@ def translate_with(
 
     `open_client()` runs once per partition and returns `f(text, source, target)`.
     An exception with error code `ThrottlingException` is retried after 2 s, then
-    4 s; any other ends the row. A coded exception is a failure, an uncoded one an
+    4 s, in its task (`translate_in_rounds` does not hold up other rows, and logs); any other ends the row. A coded exception is a failure, an uncoded one an
     error.
     """
     throttled, first_wait, source = V.THROTTLED, V.FIRST_RETRY_WAIT_SECONDS, V.SOURCE_LANGUAGE
@@ -121,6 +126,81 @@ def translate_with(
     return step
 
 
+@dataclass(frozen=True)
+class Attempted:
+    """The `outcomes` of rows, and the `log` (item_id, attempt, status, error_code, message, translated) that they follow from."""
+
+    outcomes: DataFrame
+    log: DataFrame
+
+
+def attempt_in_rounds(
+    rows: DataFrame,
+    open_client: Callable[[int], Callable[[str, str, str], str]],
+    error_code: Callable[[Exception], str | None] = lambda e: getattr(e, "code", None),
+    wait: Callable[[float], None] | None = None,
+    attempts: int = V.MAX_TRANSLATION_ATTEMPTS,
+    key: str = "row_key",
+    ledger: Ledger | None = None,
+    at_once: int = AT_ONCE,
+) -> Attempted:
+    """Translate foreign rows in rounds over a queue; every attempt is a row of the log.
+
+    `open_client(round)` runs once per task and gives `f(text, source, target)`. A row whose attempt was throttled
+    goes to the next round's queue, and the job waits 2 s, then 4 s, once for all of them; other rows
+    wait for none. Attempts are kept in `ledger` (default: a new one) under the row's `key` and the round, so neither a task
+    that is tried again nor a run over the same ledger repeats one (a killed process can lose the `at_once` that it is at). `key` is unique; rows in the source language pass.
+    """
+    import time
+
+    spark = rows.sparkSession
+    ledger, pause, source = ledger or Ledger.fresh(spark), wait or time.sleep, V.SOURCE_LANGUAGE
+    text = T.StringType()
+    answer = T.StructType([T.StructField(c, text) for c in ("status", "error_code", "message", "translated")])
+
+    def asker(round_: int) -> Callable[[], Ask]:
+        def open_() -> Ask:
+            client = None
+
+            def one(value: str, target: str) -> tuple:
+                nonlocal client
+                try:
+                    client = client or open_client(round_)
+                    return "success", None, None, client(value, source, target)
+                except Exception as problem:
+                    return "failure", error_code(problem), str(problem), None
+
+            return lambda asked: [one(*a) for a in asked]
+
+        return open_
+
+    item = F.col(f"`{key}`").cast("string")
+    queue = settle(rows.filter(_foreign()).select(item.alias("item_id"), "text", "target_language"), "queue")
+    log: list[DataFrame] = []
+    for attempt in range(attempts):
+        asked = queue.df.withColumn("call", F.concat_ws("#", "item_id", F.lit(attempt)))
+        answers = record_calls(asked, "call", ["text", "target_language"], answer, asker(attempt), ledger, at_once)
+        named = answers.withColumn("item_id", F.regexp_extract("call", r"(?s)^(.*)#\d+$", 1)).withColumn("attempt", F.lit(attempt).cast("bigint"))
+        tried = settle(named.select("item_id", "attempt", *answer.names), "attempts")
+        log.append(tried.df)
+        throttled = settle(tried.df.filter(F.col("error_code") == V.THROTTLED).select("item_id"), "throttled")
+        if not throttled.rows or attempt == attempts - 1:
+            break
+        queue = settle(lookup_join(queue.df, throttled, ["item_id"], ["item_id"], how="left_semi"), "queue")
+        pause(V.FIRST_RETRY_WAIT_SECONDS * 2**attempt)
+    entries = reduce(DataFrame.unionByName, log)
+    texts = entries.filter(F.col("status") == "success").select("item_id", "translated")
+    known = retry_outcome(entries, attempts).join(texts, "item_id", "left").select(F.col("item_id").alias("_item"), *OUTCOME)
+    joined = lookup_join(rows.withColumn("_item", item), settle(known, "outcomes"), ["_item"], [key])
+    passed = F.when(_foreign(), F.col("status")).otherwise("passed").alias("status")
+    return Attempted(joined.select(*[F.col(f"`{c}`") for c in rows.columns], passed, *OUTCOME[1:]), entries)
+
+
+def translate_in_rounds(open_client: Callable[[int], Callable[[str, str, str], str]], **options) -> Callable[[DataFrame], DataFrame]:
+    """A translation step of `attempt_in_rounds`; `options` are those of it."""
+    return lambda rows: attempt_in_rounds(rows, open_client, **options).outcomes
+
+
 def failure_marker(language: Column, status: Column, code: Column) -> Column:
     """Bracketed marker for a row that could not be translated; null otherwise."""
     upper = F.upper(language)
@@ -138,7 +218,7 @@ def mark_failures(translated: DataFrame) -> DataFrame:
     return translated.withColumn("text", text)
 
 
-def retry_outcome(attempts: DataFrame) -> DataFrame:
+def retry_outcome(attempts: DataFrame, most: int = V.MAX_TRANSLATION_ATTEMPTS) -> DataFrame:
     """Outcome per item from a log of (item_id, attempt, status, error_code, message).
 
     The first attempt that succeeds, fails for another reason than throttling, or
@@ -148,7 +228,7 @@ def retry_outcome(attempts: DataFrame) -> DataFrame:
     final = (
         (F.col("status") == "success")
         | (F.col("error_code").isNull() | (F.col("error_code") != V.THROTTLED))
-        | (F.col("attempt") >= V.MAX_TRANSLATION_ATTEMPTS - 1)
+        | (F.col("attempt") >= most - 1)
     )
     entry = F.struct("attempt", "status", "error_code", "message")
     decided = F.min(F.when(final, entry))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions.hashing import digest
 from labelloom.plans.joins import fits_broadcast, lookup_join
@@ -72,6 +73,66 @@ def first_n_per_group(
     return kept.drop("_slot", "_rank")
 
 
+def first_in_order(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
+    """First `n` rows of each group by `order` (ascending, nulls first), exact for any group size, order and `n`.
+
+    Only groups of more than `n` rows are looked at, and of these only a narrow table of group, order and a digest of
+    the row: it is range-sorted and numbered, which tells the n-th row. Whole rows are then kept or not where they
+    are. Rows that agree in group and order follow the digest; of equal rows as many are kept as fit.
+    """
+    if n < 1:
+        return df.limit(0)
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > n)
+    large = settle(counts, "large-groups")
+    if not large.rows:
+        return df
+    digested = df.withColumn("_digest", content_digest(df))
+    keys = [*order, "_digest"]
+    narrow = lookup_join(digested.select(*dict.fromkeys([*group, *keys])), large, group, keys, how="inner", null_safe=True)
+    numbered = settle(number_rows(narrow.drop("_n"), [*group, *keys], "_number"), "ordered")
+    by = [F.col(f"`{c}`") for c in group]
+    first = numbered.df.groupBy(*by).agg(F.min("_number").alias("_first"))
+    # A row for each large group.
+    cut = _null_safe(numbered.df, settle(first, "first-rows"), group).filter(F.col("_number") == F.col("_first") + n - 1)
+    cut = settle(cut.select(*by, F.struct(*keys).alias("_cut"), (F.col("_first") + n - 1).alias("_last")), "nth-rows")
+    # Of the rows that equal the n-th one, how many are among the first n.
+    same = _null_safe(numbered.df, cut, group).filter(F.struct(*keys).eqNullSafe(F.col("_cut")))
+    copies = settle(
+        same.groupBy(*by, "_cut").agg(F.count(F.lit(1)).alias("_copies"), F.count_if(F.col("_number") <= F.col("_last")).alias("_kept")), "copies"
+    )
+    names = [F.col(f"`{c}`") for c in df.columns]
+    joined = _null_safe(digested, copies, group)
+    key = F.struct(*keys)
+    inside = F.col("_cut").isNull() | (key < F.col("_cut")) | (key.eqNullSafe(F.col("_cut")) & (F.col("_copies") == F.col("_kept")))
+    kept = joined.filter(inside).select(*names)
+    if copies.df.filter("_kept < _copies").isEmpty():
+        return kept
+    # Equal rows across the cut: one of each stands for all, so few texts are moved.
+    some = joined.filter(key.eqNullSafe(F.col("_cut")) & (F.col("_kept") < F.col("_copies")))
+    return kept.unionByName(repeat_rows(some, df.columns, "_digest", F.col("_kept")))
+
+
+def _null_safe(df: DataFrame, table: Settled, on: list[str]) -> DataFrame:
+    return lookup_join(df, table, on, on, null_safe=True)
+
+
+def repeat_rows(rows: DataFrame, columns: list[str], by: str, times: Column) -> DataFrame:
+    """Of the equal rows that share `by`, as many as `times` says."""
+    one = rows.groupBy(by).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("_row"), F.first(times).alias("_times"))
+    many = one.filter("_times > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times").cast("bigint"))))
+    return many.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns])
+
+
+def content_digest(df: DataFrame) -> Column:
+    """32 hex digits that are equal for equal rows only; columns of any type."""
+    parts = []
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
+        plain = F.to_json(F.struct(col.alias("v"))) if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)) else col.cast("string")
+        parts.append(F.coalesce(F.md5(plain), F.lit("-")))
+    return F.md5(F.concat_ws(",", *parts))
+
+
 @dataclass(frozen=True)
 class RankIndex:
     """Units with a `_bucket`, rows per group (`_n`), and rows per group and bucket (`_n`)."""
@@ -175,6 +236,7 @@ class FirstCuts:
     salt: str
     seed: int
     cuts: Settled | None
+    shared: Settled | None = None
 
     def keep(self, df: DataFrame) -> DataFrame:
         if self.cuts is None:
@@ -183,16 +245,55 @@ class FirstCuts:
         joined = lookup_join(tagged, self.cuts, self.by, [self.key], null_safe=True)
         # A group without a cut has fewer than `n` rows: all of them stay.
         inside = at_or_before("_digest", "_tie", "_keep_digest", "_keep_tie")
-        return joined.filter(F.col("_keep_digest").isNull() | inside).select(*[F.col(f"`{c}`") for c in df.columns])
+        kept = joined.filter(F.col("_keep_digest").isNull() | inside)
+        return share_copies(kept, df.columns, self.by, self.shared)
 
 
-def first_cuts(df: DataFrame, by: list[str], n: int, key: str, salt: str, seed: int) -> FirstCuts:
-    """Cuts from one narrow pass over `df`."""
+def first_cuts(df: DataFrame, by: list[str], n: int, key: str, salt: str, seed: int, repeats: bool = False) -> FirstCuts:
+    """Cuts from one narrow pass over `df`. With `repeats`, rows of a group that share a key are equal, and as many are kept as fit."""
     if n < 1:
         return FirstCuts(by, n, key, salt, seed, None)
     tagged = df.withColumns({"_digest": digest(key, salt, seed), "_tie": F.col(key)})
-    index = rank_index(settle(tagged.select(*by, "_digest", "_tie"), "units").df, by)
-    return FirstCuts(by, n, key, salt, seed, permutation_cuts(index, index.totals.df, {"keep": F.lit(n)}))
+    units = settle(tagged.select(*by, "_digest", "_tie"), "units").df
+    index = rank_index(units, by)
+    cuts = permutation_cuts(index, index.totals.df, {"keep": F.lit(n)})
+    shared = None
+    if repeats:
+        at_cut = copies_at_cuts(units, cuts, by, ["keep"]).withColumn("_times", F.lit(n) - F.col("_before"))
+        shared = settle(at_cut.filter("_times < _copies").select(*by, "_tie", F.lit(None).cast("string").alias("_part"), "_times"), "shared-copies")
+    return FirstCuts(by, n, key, salt, seed, cuts, shared)
+
+
+def copies_at_cuts(units: DataFrame, cuts: Settled, by: list[str], names: list[str]) -> DataFrame:
+    """(`by`, _cut, _tie, _before, _copies): units that come before each cut, and that equal it."""
+    joined = lookup_join(units, cuts, by, ["_digest", "_tie"], how="inner", null_safe=True)
+    totals = []
+    for n in names:
+        upto = at_or_before("_digest", "_tie", f"_{n}_digest", f"_{n}_tie")
+        same = (F.col("_digest") == F.col(f"_{n}_digest")) & (F.col("_tie") == F.col(f"_{n}_tie"))
+        totals += [F.count_if(upto & ~same).alias(f"_{n}_before"), F.count_if(same).alias(f"_{n}_copies"), F.max(F.when(same, F.col("_tie"))).alias(f"_{n}_key")]
+    found = joined.groupBy(*by).agg(*totals)
+    each = [F.struct(F.lit(n).alias("_cut"), F.col(f"_{n}_key").alias("_tie"), F.col(f"_{n}_before").alias("_before"), F.col(f"_{n}_copies").alias("_copies")) for n in names]
+    return found.select(*by, F.inline(F.array(*each))).filter("_copies > 0")
+
+
+def share_copies(rows: DataFrame, columns: list[str], by: list[str], shared: Settled | None, part: str | None = None) -> DataFrame:
+    """`rows`, but of those at a shared key (`by`, _tie) as many, and in the parts, that `shared` says.
+
+    Such rows are equal, so one of each stands for all: the others are not moved.
+    """
+    names = [F.col(f"`{c}`") for c in columns] + ([F.col(part)] if part else [])
+    if shared is None or not shared.rows:
+        return rows.select(*names)
+    keys = settle(shared.df.select(*by, "_tie").distinct().withColumn("_shared", F.lit(True)), "shared-keys")
+    marked = lookup_join(rows, keys, [*by, "_tie"], ["_tie"], null_safe=True)
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+    one = marked.filter("_shared").groupBy(*[F.col(f"`{c}`").alias(f"_by_{c}") for c in by], "_tie").agg(F.first(whole).alias("_row"))
+    parts = shared.df.select(*[F.col(f"`{c}`").alias(f"_of_{c}") for c in by], F.col("_tie").alias("_of_tie"), "_part", "_times")
+    same = reduce(lambda a, b: a & b, [F.col(f"_by_{c}").eqNullSafe(F.col(f"_of_{c}")) for c in by], F.col("_tie") == F.col("_of_tie"))
+    many = one.join(parts, same).filter("_times > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times").cast("bigint"))))
+    again = many.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], *([F.col("_part").alias(part)] if part else []))
+    return marked.filter(F.col("_shared").isNull()).select(*names).unionByName(again)
 
 
 def at_or_before(digest_col: str, tie_col: str, cut_digest: str, cut_tie: str) -> Column:
@@ -201,6 +302,51 @@ def at_or_before(digest_col: str, tie_col: str, cut_digest: str, cut_tie: str) -
     )
 
 
+@dataclass(frozen=True)
+class RankParts:
+    """Runs of `size` consecutive rows in the order of a digest; `place` tells a row's run where it stands."""
+
+    key: str
+    salt: str
+    seed: int
+    count: int
+    buckets: Settled
+
+    def place(self, df: DataFrame, name: str) -> DataFrame:
+        tagged = df.withColumns({"_digest": digest(self.key, self.salt, self.seed), "_tie": F.col(self.key)})
+        found = lookup_join(tagged.withColumn("_bucket", F.substring("_digest", 1, MAX_DIGITS)), self.buckets, ["_bucket"], [self.key])
+        here = F.struct("_digest", "_tie")
+        run = F.col("_run") + F.size(F.filter("_starts", lambda c: c <= here))
+        return found.select(*[F.col(f"`{c}`") for c in df.columns], "_digest", run.cast("bigint").alias(name))
+
+
+def rank_parts(df: DataFrame, key: str, size: int, salt: str, seed: int) -> RankParts:
+    """Runs of `size` rows, decided from keys alone.
+
+    Rows are counted by the leading digits of their digest, which tells in which bucket a run starts; only those
+    buckets are sorted. The result has a row per bucket: the run that it begins in, and where in it further ones start.
+    """
+    units = df.select(digest(key, salt, seed).alias("_digest"), F.col(key).alias("_tie"))
+    units = settle(units.withColumn("_bucket", F.substring("_digest", 1, MAX_DIGITS)), "run-units").df
+    # At most 16 ** MAX_DIGITS rows.
+    counts = settle(units.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), "run-buckets")
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = settle(counts.df.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint")), "run-ranges")
+    # Row numbers from 0; a run starts at every multiple of `size`, the first one with the first row.
+    inner = F.floor((F.col("_before") + F.col("_n") - 1) / size) > F.floor((F.col("_before") - 1) / size)
+    splitting = settle(ranged.df.filter(inner).select("_bucket", "_before"), "run-splits")
+    held = lookup_join(units, splitting, ["_bucket"], ["_tie"], how="inner")
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", "_tie")) - 1 + F.col("_before")
+    starts = held.withColumn("_at", place).filter(F.col("_at") % size == 0)
+    listed = settle(starts.groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct("_digest", "_tie"))).alias("_starts")), "run-starts")
+    none = F.array().cast(listed.df.schema["_starts"].dataType)
+    table = ranged.df.join(listed.df, "_bucket", "left").select(
+        "_bucket", F.floor((F.col("_before") - 1) / size).cast("bigint").alias("_run"), F.coalesce("_starts", none).alias("_starts")
+    )
+    total = ranged.df.agg(F.sum("_n")).first()[0] or 0
+    return RankParts(key, salt, seed, -(-total // size), settle(table, "run-table"))
+
+
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Give rows that carry no key an id: their place in the order of a digest of their content.
 
