@@ -9,6 +9,7 @@ from labelloom.functions import fixed_values as V
 from labelloom.operators import artifacts as A
 from labelloom.operators import metrics as R
 from labelloom.plans.shared import fresh_path
+from labelloom.streaming import run_tables as LIVE
 from labelloom.streaming.progress import start_metric_stream
 
 registry = Registry()
@@ -98,6 +99,52 @@ def best_checkpoint(spark, sf_dir):
     return R.best_checkpoint(R.eval_metric_filter(log_events(spark, sf_dir)), "eval_loss", SAVE_EVERY)
 
 
+def live_events(spark, sf_dir, batches=3):
+    """`events`, in several files that are read one after another, as a stream."""
+    schema = table(spark, sf_dir, "events").schema
+    path = fresh_path(spark, "live-events")
+    # An event's number decides its file, so a metric's best can come in any batch.
+    table(spark, sf_dir, "events").repartition(batches, "event_id").write.parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@registry.add("stream_run_table", f"""WITH {TRAIN_SQL}
+SELECT 'r1' AS run_id, 'train' AS stage, key, round(value, 6) AS value, step FROM (SELECT * FROM renamed UNION ALL SELECT * FROM evaluated)""")
+def stream_run_table(spark, sf_dir):
+    """A run table filled by micro-batches, the last of which is delivered twice."""
+    out = fresh_path(spark, "run-table")
+    query = LIVE.start_run_table(
+        as_log_events(live_events(spark, sf_dir)), out + "/table", out + "/checkpoint", "r1", n=EVERY, available_now=True
+    )
+    query.awaitTermination()
+    again = spark.read.schema(LIVE.LIVE_SCHEMA).parquet(out + "/table").filter("batch_id = 1")
+    rows = stored_rows(again.drop("batch_id"))
+    LIVE.write_batch(out + "/table", ["run_id", "stage"])(rows, 1)
+    return shown(LIVE.read_run_table(spark, out + "/table"))
+
+
+def stored_rows(df):
+    """Rows apart from the table that they were read from."""
+    path = fresh_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@registry.add("stream_best_checkpoint", f"""WITH {EVENTS_SQL}
+SELECT 'run' || (step // {SAVE_EVERY} % 4)::varchar AS run_id, arg_min(step, (eval_loss, step)) AS best_step, min(eval_loss) AS best_value
+FROM log_events WHERE step % {SAVE_EVERY} = 0 GROUP BY 1""")
+def stream_best_checkpoint(spark, sf_dir):
+    """The best checkpoint so far of each of four runs, kept by a stateful stream."""
+    out = fresh_path(spark, "best")
+    events = as_log_events(live_events(spark, sf_dir))
+    run = F.concat(F.lit("run"), F.floor(F.col("step") / SAVE_EVERY) % 4)
+    query = LIVE.start_best_checkpoint(
+        events.withColumn("run_id", run), out + "/table", out + "/checkpoint", save_every=SAVE_EVERY, available_now=True
+    )
+    query.awaitTermination()
+    return LIVE.best_so_far(spark, out + "/table")
+
+
 @registry.add("log_regex_metrics", """
 WITH lines AS (
   SELECT event_id, '{''loss'': ' || user_id || '.5, ''eval_loss'': ' || event_id || ', ''lr'': 1e-05} {''loss'': 1e-05, ''eval_accuracy'': 0.'

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from labelloom.catalog.base import RAW_SQL, Registry, raw_rows, sql_digest, sql_split, sql_strip
 from labelloom.catalog.encoding import PROMPTS_SQL, test_prompts
 from labelloom.catalog.evaluation import rounded
+from labelloom.functions import fixed_values as V
+from labelloom.operators import bayes as B
 from labelloom.operators import evaluate as E
 from labelloom.operators import score as M
 from labelloom.operators import split as S
@@ -14,6 +16,8 @@ from labelloom.plans.shared import fresh_path, settle
 
 registry = Registry()
 
+SQL_NARROW = V.NARROW_SPACE
+
 
 def parts(spark, sf_dir):
     rows = S.split_rows(raw_rows(spark, sf_dir), "category_label", "row_id")
@@ -59,6 +63,36 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
+BAYES_SQL = f"""WITH {RAW_SQL},{sql_split('raw')},
+seen AS (SELECT * FROM parts WHERE split = 'train' AND category_label IS NOT NULL),
+words AS (SELECT row_id, category_label AS label, unnest(regexp_split_to_array(lower(job_description_text), '{SQL_NARROW}+')) AS feature FROM seen),
+tallied AS (SELECT feature, label, count(*) AS tf, count(DISTINCT row_id) AS docs FROM words WHERE feature <> '' GROUP BY ALL),
+rare AS (SELECT feature, ln(((SELECT count(*) FROM seen) + 1)::double / (sum(docs) + 1)) AS rarity FROM tallied GROUP BY feature),
+mass AS (SELECT label, sum(tf * rarity) AS total FROM tallied JOIN rare USING (feature) GROUP BY label),
+labels AS (
+  SELECT label, ln(n + 1) - ln((SELECT count(*) FROM seen) + (SELECT count(DISTINCT category_label) FROM seen)) AS prior,
+         ln(coalesce(total, 0) + (SELECT count(*) FROM rare)) AS norm
+  FROM (SELECT category_label AS label, count(*) AS n FROM seen GROUP BY 1) LEFT JOIN mass USING (label)),
+asked AS (
+  SELECT row_id, feature, count(*) * any_value(rarity) AS x
+  FROM (SELECT row_id, unnest(regexp_split_to_array(lower(job_description_text), '{SQL_NARROW}+')) AS feature FROM parts WHERE split = 'test')
+  JOIN rare USING (feature) GROUP BY ALL),
+scores AS (
+  SELECT t.row_id, l.label, any_value(prior) + coalesce(sum(x * (ln(coalesce(tf * rarity, 0) + 1) - norm)), 0) AS score
+  FROM (SELECT row_id FROM parts WHERE split = 'test') t CROSS JOIN labels l
+  LEFT JOIN asked a ON a.row_id = t.row_id LEFT JOIN rare r ON r.feature = a.feature
+  LEFT JOIN tallied c ON c.feature = a.feature AND c.label = l.label GROUP BY ALL)
+SELECT row_id, arg_min(label, (-score, label)) AS predicted_label FROM scores GROUP BY row_id"""
+
+
+@registry.add("classify_by_table", BAYES_SQL)
+def classify_by_table(spark, sf_dir):
+    """Labels of the test part by a naive Bayes model that is a table of weights."""
+    rows = parts(spark, sf_dir)
+    model = B.fit_bayes(rows.filter("split = 'train'"), "job_description_text", "category_label")
+    return B.classify_by_table(model, rows.filter("split = 'test'"), "job_description_text", "row_id").select("row_id", "predicted_label")
+
+
 def echo_predictor():
     """Repeats the prompt and appends a label chosen by the prompt's length."""
 

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from labelloom.functions import fixed_values as V
 from labelloom.functions.text import squeeze
-from labelloom.plans.joins import fits_broadcast, lookup_join
 from labelloom.plans.ordering import number_rows
 from labelloom.plans.shared import Settled, settle
+from labelloom.plans.wordfiles import WordFiles, write_word_files
 
 UNKNOWN, PAD, FIRST_WORD_ID = 0, 1, 2
+# A beginning of so many signs a word nearly always holds the words wanted.
+CHARS_PER_WORD = 16
 
 
 def render_train(messages: Column, eos: str) -> Column:
@@ -37,9 +39,14 @@ def _turn(m: Column, eos: str) -> Column:
     )
 
 
-def words(text: Column, limit: int) -> Column:
-    """First `limit` blank-separated words; what follows them is not split."""
-    return F.slice(F.split(squeeze(text), " ", limit + 1), 1, limit)
+def first_words(text: Column, limit: int) -> Column:
+    """The text with single blanks between its words, its first `limit` words at least.
+
+    Of a long text only the beginning is squeezed, as long as it holds more than `limit` words.
+    """
+    start = squeeze(F.substring(text, 1, CHARS_PER_WORD * limit))
+    blanks = F.length(start) - F.length(F.replace(start, F.lit(" "), F.lit("")))
+    return F.when((F.length(text) <= CHARS_PER_WORD * limit) | (blanks > limit), start).otherwise(squeeze(text))
 
 
 def word_vocabulary(corpus: DataFrame, text_col: str, eos: str) -> DataFrame:
@@ -64,60 +71,42 @@ def token_limit(max_seq_length: int) -> int:
 def encode(
     df: DataFrame,
     text_col: str,
-    vocabulary: DataFrame | Settled,
-    key: str,
+    vocabulary: DataFrame | Settled | WordFiles,
+    key: str | None = None,
     max_seq_length: int = V.TOKEN_LIMIT,
     pad: bool = True,
 ) -> DataFrame:
     """Append `n_tokens` and `input_ids` (truncated, and padded unless `pad` is off).
 
-    `vocabulary` is (word, token_id). When it is small enough to ship, words are
-    looked up in Arrow batches and rows do not move; otherwise they are joined to
-    it, at most `limit` words per row.
+    `vocabulary` is (word, token_id), or the files made of it. It is written to files that tasks map
+    into memory, whatever its size, and rows do not move, so `key` need not be unique.
     """
     limit = token_limit(max_seq_length)
-    table = vocabulary if isinstance(vocabulary, Settled) else settle(vocabulary, "token-vocabulary")
-    listed = df.withColumn("_words", words(F.col(text_col), limit))
-    looked_up = _ship_lookup(listed, table) if fits_broadcast(table) else _join_lookup(listed, table, key)
+    if not isinstance(vocabulary, WordFiles):
+        vocabulary = write_word_files(vocabulary if isinstance(vocabulary, Settled) else settle(vocabulary, "token-vocabulary"))
+    looked_up = df.withColumn("input_ids", _look_up(first_words(F.col(text_col), limit), vocabulary, limit))
     counted = looked_up.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
     return counted.withColumn("input_ids", pad_to(F.col("input_ids"), F.lit(limit))) if pad else counted
 
 
-def _ship_lookup(listed: DataFrame, table: Settled) -> DataFrame:
-    rows = table.df.orderBy("token_id", "word").collect()
-    shipped = listed.sparkSession.sparkContext.broadcast(
-        ([r["word"] for r in rows], [r["token_id"] for r in rows])
-    )
+def _look_up(texts: Column, known: WordFiles, limit: int) -> Column:
+    """Ids of the first `limit` blank-separated words of each text; none for a null."""
     unknown = UNKNOWN
 
     @F.arrow_udf("array<int>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import pyarrow.compute as pc
 
-        # The table of a task's words is made once, not for every batch.
-        known, ids = shipped.value
-        table = dict(zip(reversed(known), reversed(ids)))
-        for lists in batches:
-            if lists.null_count:
-                lists = pc.coalesce(lists, pa.scalar([], lists.type))
+        for batch in batches:
+            lists = pc.list_slice(pc.split_pattern(batch, " ", max_splits=limit), 0, limit)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0)
+            # A different word of a batch is looked up once.
             coded = lists.flatten().dictionary_encode()
-            found = pa.array([table.get(w, unknown) for w in coded.dictionary.to_pylist()], pa.int32())
-            tokens = found.take(coded.indices)
-            offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(pc.list_value_length(lists))])
+            tokens = pa.array(known.ids(coded.dictionary, unknown), pa.int32()).take(coded.indices)
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
             yield pa.ListArray.from_arrays(offsets, tokens)
 
-    return listed.withColumn("input_ids", look_up("_words")).drop("_words")
-
-
-def _join_lookup(listed: DataFrame, table: Settled, key: str) -> DataFrame:
-    tokens = listed.select(key, F.posexplode("_words").alias("_pos", "word"))
-    known = lookup_join(tokens, table, ["word"], [key, "_pos"])
-    entry = F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN)).alias("id"))
-    # At most `limit` entries per row were kept before the join.
-    lists = known.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_ids"))
-    ids = lists.select(key, F.transform("_ids", lambda e: e["id"]).alias("input_ids"))
-    none = F.array().cast("array<int>")
-    return listed.drop("_words").join(ids, key, "left").withColumn("input_ids", F.coalesce("input_ids", none))
+    return look_up(texts)
 
 
 def encode_with(
