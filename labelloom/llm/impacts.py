@@ -41,7 +41,8 @@ BLOCK_BYTES = 8 * 1024 * 1024
 BUCKET_ROWS = 1024
 # A plan choice: rows are searched first until about so many are; results do not depend on it.
 FIRST_ROWS = 20_000
-FILE_ROWS = 50_000
+FILE_ROWS = 16_384
+MANY_FILES = 4096
 NULL_ID = np.iinfo(np.int64).max
 
 # Of the signs below 128, letters (made small) and digits are kept; all others part terms.
@@ -223,7 +224,8 @@ def _rank_block(docs: DataFrame, block: Block, k: int, key: str, text: str, buck
     for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         held[r["t"]] = r["n"]
     made = impact_vectors(counted, documents, words, weights_of(documents, held))
-    parts = max(1, math.ceil(documents / FILE_ROWS))
+    # Small files for many tasks, until there are very many.
+    parts = max(1, min(math.ceil(documents / FILE_ROWS), max(MANY_FILES, math.ceil(documents / 1_000_000))))
     longest_first = made.repartitionByRange(parts, F.desc("norm"), F.xxhash64("doc_id", "terms")).sortWithinPartitions(F.desc("norm"))
     vectors = stored(longest_first, "impact-vectors")
     known = np.zeros(len(block.ids), np.int64)

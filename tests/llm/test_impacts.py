@@ -91,7 +91,7 @@ def test_empty_tables(spark):
     assert rank_documents(empty_documents(spark), items).count() == 0
     assert rank_documents(docs, items.limit(0)).count() == 0
     assert rank_documents(docs, frame(spark, [(1, None), (2, "?")], "item_id")).count() == 0
-    assert rank_documents(docs, items).count() == 4
+    assert rank_documents(docs, items).count() == 3
 
 
 def test_candidates_hold_every_row_that_reaches_the_score():
