@@ -1,12 +1,13 @@
 """License scans by ordered signature rules.
 
-Several hundred expressions, made from families, versions and ways of naming them, run in
-rule order over a text's words. A rule is tried only if its keyword occurs (one pass
+Several hundred expressions, made from families, versions and ways of naming them (license texts' openings, tags, addresses,
+names with versions, glued short names, verbs), run in rule order over a text's words. A rule is tried only if its keyword occurs (one pass
 finds all keywords). Where detections overlap, the rule of higher priority (then the longer, then
-the earlier rule) wins, and a detection that lies inside a kept one is suppressed.
+the earlier rule) wins, and a detection that meets a kept one is suppressed: kept detections are marked on
+the text, so each further one is tested against its own stretch alone, however many there are.
 
 Base phrases are counted apart from that and are never suppressed. Null texts are
-empty. Positions are counted in words from 0.
+empty. Positions are counted in words from 0. Repeated rows are scanned like any others; columns besides key and text are not read.
 """
 
 from __future__ import annotations
@@ -52,7 +53,37 @@ FAMILIES = [
     ("cc0", ["creative commons zero", "cc0"], ["1 0"]),
     ("public-domain", ["public domain dedication", "dedicated to the public domain"], []),
 ]
+# Short names by which a family is tagged or referred to (the names of the tags).
+SHORT = {
+    "agpl": "agpl", "lgpl": "lgpl", "gpl": "gpl", "fdl": "gfdl", "apache": "apache", "mpl": "mpl", "epl": "epl", "cddl": "cddl", "cpl": "cpl",
+    "eupl": "eupl", "artistic": "artistic", "bsl": "bsl", "osl": "osl", "afl": "afl", "psf": "psf", "zpl": "zpl", "ofl": "ofl", "php": "php",
+    "mit": "mit", "isc": "isc", "zlib": "zlib", "bsd": "bsd", "unlicense": "unlicense", "wtfpl": "wtfpl", "cc0": "cc0",
+}
+# Addresses of license texts (label, words of the address before a version, the word looked for first, versions follow).
+ADDRESSES = [
+    ("apache", "apache org licenses license", "apache", True),
+    ("apache", "apache org licenses", "apache", False),
+    ("mit", "opensource org licenses? mit", "opensource", False),
+    ("bsd", "opensource org licenses? bsd(?: [23] clause| license)?", "opensource", False),
+    ("apache", "opensource org licenses? apache", "opensource", True),
+    ("isc", "opensource org licenses? isc", "opensource", False),
+    ("gpl", "opensource org licenses? gpl", "opensource", True),
+    ("lgpl", "opensource org licenses? lgpl", "opensource", True),
+    ("mpl", "opensource org licenses? mpl", "opensource", True),
+    ("gpl", "gnu org (?:licenses|copyleft)(?: old licenses)? gpl", "gnu", True),
+    ("lgpl", "gnu org (?:licenses|copyleft)(?: old licenses)? lgpl", "gnu", True),
+    ("agpl", "gnu org licenses agpl", "gnu", True),
+    ("fdl", "gnu org licenses fdl", "gnu", True),
+    ("mpl", "mozilla org mpl", "mozilla", True),
+    ("epl", "eclipse org (?:org documents|legal) epl", "eclipse", True),
+    ("bsl", "boost org license", "boost", True),
+    ("ofl", "scripts sil org ofl", "sil", False),
+    ("unlicense", "unlicense org", "unlicense", False),
+    ("cc0", "creativecommons org publicdomain zero", "creativecommons", True),
+]
 CC_KINDS = ["by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"]
+# Long names of the parts of a kind.
+CC_PARTS = {"by": "attribution", "sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?"}
 CC_VERSIONS = ["1 0", "2 0", "2 5", "3 0", "4 0"]
 # Opening words of license texts.
 OPENINGS = [
@@ -86,7 +117,7 @@ class Rule:
 
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: openings, tags, named with version, named with a verb, bare names."""
+    """All rules in order: openings, tags, addresses, named with version, named with a verb, bare names."""
     out: list[Rule] = []
 
     def add(label: str, body: str, keyword: str, priority: int, weight: float) -> None:
@@ -95,8 +126,20 @@ def rules() -> tuple[Rule, ...]:
     for label, words in OPENINGS:
         add(label, words, max(words.split(), key=len), 100 if label != "proprietary" else 40, 1.0 if label != "proprietary" else 0.5)
     for label, names, versions in FAMILIES:
-        short = names[-1].split()[0] if label in ("agpl", "lgpl", "gpl", "mpl", "epl", "eupl", "cddl") else label
-        add(label, f"spdx license identifier {re.escape(short)}(?: [0-9]+)*(?: only| or later)?", "spdx", 90, 1.0)
+        short = SHORT.get(label)
+        under = "(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?"
+        later = "(?: only| or later| or any later version)?"
+        for version in versions if short else []:
+            full = f"{label}-{version.replace(' ', '.')}"
+            glued = f"{short}v{version.split()[0]}"
+            add(full, f"spdx license identifier {short} v?{version}{later}", "spdx", 92, 1.0)
+            add(full, f"{short}v{version}{later}", glued, 80, 0.95)
+            if label in ("apache", "artistic", "zpl", "ofl", "cpl", "osl", "afl"):
+                add(full, f"{short} (?:v(?:ersion)? ?)?{version}", short, 75, 0.85)
+            add(full, f"{under}{short} (?:license )?(?:v(?:ersion)? ?)?{version}{later}", short, 78, 0.9)
+        if short:
+            add(label, f"spdx license identifier {short}(?: [0-9]+)*{later}", "spdx", 90, 1.0)
+            add(label, f"{under}{short}", short, 65, 0.85)
         for name in names:
             key = max(name.split(), key=len)
             for version in versions:
@@ -105,10 +148,24 @@ def rules() -> tuple[Rule, ...]:
                 add(label, f"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}", key, 70, 0.9)
                 add(label, f"(?:subject to|governed by|covered by) (?:the )?(?:terms of (?:the )?)?{name}", key, 70, 0.9)
                 add(label, name, key, 60, 0.8)
+    versions_of = {label: versions for label, _, versions in FAMILIES}
+    for label, words, key, versioned in ADDRESSES:
+        for version in versions_of[label] if versioned else []:
+            add(f"{label}-{version.replace(' ', '.')}", f"{words} v?{version}", key, 88, 0.95)
+            if " 0" in version:
+                add(f"{label}-{version.replace(' ', '.')}", f"{words} v?{version.replace(' ', '')}", key, 88, 0.95)
+        add(label, words, key, 86, 0.95)
     for kind in CC_KINDS:
+        label = f"cc-{kind.replace(' ', '-')}"
+        written = " ".join(CC_PARTS[part] for part in kind.split())
         for version in CC_VERSIONS:
-            add(f"cc-{kind.replace(' ', '-')}-{version.replace(' ', '.')}", f"cc {kind} {version}", "cc", 80, 0.95)
-        add(f"cc-{kind.replace(' ', '-')}", f"creative commons (?:attribution )?{kind}", "commons", 60, 0.8)
+            full = f"{label}-{version.replace(' ', '.')}"
+            add(full, f"cc {kind} {version}", "cc", 80, 0.95)
+            add(full, f"creative commons (?:{written}|{kind})(?: v(?:ersion)?)? {version}", "commons", 82, 0.95)
+            add(full, f"creative commons (?:{written}|{kind}) (?:international |unported |generic )?(?:public )?licen[sc]e(?: v(?:ersion)?)? {version}", "commons", 82, 0.95)
+            add(full, f"creativecommons org licenses {kind} {version}", "creativecommons", 88, 0.95)
+        add(label, f"creative commons (?:{written}|(?:attribution )?{kind})", "commons", 60, 0.8)
+        add(label, f"creativecommons org licenses {kind}", "creativecommons", 86, 0.95)
     for clauses in ("2", "3", "4", "two", "three", "four"):
         add("bsd", f"{clauses} clause bsd(?: license)?|bsd {clauses} clause(?: license)?", "clause", 80, 0.95)
     return tuple(out)
@@ -136,8 +193,10 @@ def detect(line: bytes) -> list[tuple[str, int, int, float]]:
         hits += [(rule.priority, m.end() - m.start(), -i, m.start(), m.end()) for m in rule.pattern.finditer(line)]
     hits.sort(reverse=True)
     kept: list[tuple[int, int, int]] = []
+    taken, mark = bytearray(len(line)), bytes([1])
     for _, _, order, a, b in hits:
-        if not any(a < y and x < b for x, y, _ in kept):
+        if taken.find(mark, a, b) < 0:
+            taken[a:b] = mark * (b - a)
             kept.append((a, b, -order))
     return [(rules()[i].label, a, b, rules()[i].weight) for a, b, i in sorted(kept)]
 
