@@ -28,8 +28,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.llm.common import connected_components, stored
+from labelloom.plans.joins import lookup_join
+from labelloom.plans.ordering import content_digest
+from labelloom.plans.shared import Settled, settle
 
 BITS = 64
 THRESHOLD = 4
@@ -61,17 +65,18 @@ def fingerprint(text: str, n: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * set_bits > k, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): whole texts, in place."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+    """(doc_id, fp), and the column `carry`: whole texts, in place."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t.as_py() or "") for t in batch.column(1)]
             signed = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), signed], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed, *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
-    narrow = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return narrow.mapInArrow(work, "doc_id bigint, fp bigint")
+    narrow = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"), *([F.col(f"`{carry}`")] if carry else []))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *narrow.schema.fields[2:]])
+    return narrow.mapInArrow(work, schema)
 
 
 # --- planning: groups of bits and their thresholds ---
@@ -324,14 +329,48 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def fingerprint_classes(nodes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """(fp, root) of stored `nodes`, one row a fingerprint: the class that each is in."""
+    plan = plan_groups(nodes, threshold)
+    places = part_hot_places(file_places(nodes, plan), plan, threshold)
+    classes = connected_components(stored(meet(places, threshold), "simhash-links"))
+    return nodes.select("fp").join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, fp, component_id): a row per row of `docs`."""
     marked = stored(fingerprints(docs, key, text), "simhash")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    plan = plan_groups(nodes, threshold)
-    places = part_hot_places(file_places(nodes, plan), plan, threshold)
-    classes = connected_components(stored(meet(places, threshold), "simhash-links"))
-    rooted = nodes.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = nodes.join(fingerprint_classes(nodes, threshold), "fp")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-classes")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """Exactly one row of each class, same columns.
+
+    It is the row with the smallest id (null ids last), then the smallest digest of its columns; of equal rows one. So rows
+    that share an id and differ are told apart, and none goes but for a class of its own.
+    """
+    content = content_digest(docs)
+    row = F.struct(F.col(f"`{key}`").isNull().alias("unnamed"), F.col(f"`{key}`").cast("bigint").alias("id"), content.alias("content"))
+    made = fingerprints(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), row.alias("row")), carry="row")
+    marked = stored(made.select("fp", "row"), "simhash-rows")
+    nodes = stored(marked.groupBy("fp").agg(F.min("row").alias("first")), "simhash-nodes")
+    rooted = nodes.join(fingerprint_classes(nodes, threshold), "fp")
+    winners = rooted.groupBy("root").agg(F.min("first").alias("winner"))
+    named = stored(rooted.join(winners, "root").select("fp", "winner"), "simhash-winners")
+    # Rows are known by id and content from here on; those that go, and those that stand several times, are the fewer.
+    told = stored(marked.join(named, "fp").select("row.id", "row.content", (F.col("row") == F.col("winner")).alias("stays")), "simhash-told")
+    gone = settle(told.filter("NOT stays").select("id", "content").distinct(), "simhash-gone")
+    repeated = settle(told.filter("stays").groupBy("id", "content").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "content"), "simhash-repeated")
+    keyed = docs.withColumns({"id_": F.col(f"`{key}`").cast("bigint"), "content_": content})
+    on, renamed = ["id_", "content_"], lambda t: Settled(t.df.toDF("id_", "content_"), t.rows, t.nbytes)
+    left = lookup_join(keyed, renamed(gone), on, on, how="left_anti", null_safe=True)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    if not repeated.rows:
+        return left.select(*names)
+    single = lookup_join(left, renamed(repeated), on, on, how="left_anti", null_safe=True)
+    several = lookup_join(left, renamed(repeated), on, on, how="left_semi", null_safe=True)
+    return single.select(*names).unionByName(several.dropDuplicates(on).select(*names))
