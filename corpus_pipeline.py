@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes each
 stage's rows and reads them again as the next one's documents. All but the last return the
-columns of `documents`. A document is known by its id.
+columns of `documents`. A document is a row: its id and its content.
 """
 
 from __future__ import annotations
@@ -17,9 +17,7 @@ from labelloom.llm.op1 import THRESHOLD, learn
 from labelloom.llm.op5 import tokenizer_path
 from labelloom.llm.packing import pack_documents
 from labelloom.llm.quality_model import filter_quality
-from labelloom.llm.simhash import near_duplicates
-from labelloom.plans.joins import lookup_join
-from labelloom.plans.shared import settle
+from labelloom.llm.simhash import drop_near_duplicates as one_of_each_class
 
 
 def _with_lengths(docs: DataFrame) -> DataFrame:
@@ -38,17 +36,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; of rows that share it, one."""
-    classes = near_duplicates(docs)
-    known = stored(classes.select("doc_id", "component_id"), "pipeline-classes")
-    gone = settle(known.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
-    left = lookup_join(docs, gone, ["doc_id"], ["doc_id"], how="left_anti")
-    repeated = settle(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "pipeline-repeated")
-    if not repeated.rows:
-        return left
-    single = lookup_join(left, repeated, ["doc_id"], ["doc_id"], how="left_anti")
-    shared = lookup_join(left, repeated, ["doc_id"], ["doc_id"], how="left_semi")
-    return single.unionByName(shared.dropDuplicates(["doc_id"]))
+    """Exactly one row of each class: the smallest id, null ids last; rows that share an id are told apart."""
+    return one_of_each_class(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
