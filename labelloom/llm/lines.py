@@ -1,27 +1,31 @@
 """Line dedup by a segment-partition edit join.
 
 Only DataFrame functions are used. A line goes when an earlier line (by document
-id, then place in the document) is equal to it, or differs by at most THRESHOLD edits of code
-points. Lines shorter than MIN_CHARS are compared for equality only, and lines without a
-visible sign always stay.
+id, then place in the document) is equal to it, or near it. Near lines share a class: short ones differ by at most 1 edit of
+code points, longer ones by 2, and lines of 12 words or more also by one word, whatever its length
+(`CLASSES`; the bounds overlap, so that two near lines have a class in common). Lines below all classes are compared for equality only, and
+lines without a visible sign always stay.
 
-Different lines are joined as follows. A line of length n is split into THRESHOLD + 1
+Different lines are joined as follows. A line of n units (code points, or words) is split into threshold + 1
 even segments; a line within the threshold holds at least one of them unchanged, near its
-place. Every line is filed under (n, segment number, segment) and probes, for each length
-in reach, the few substrings that the multi-match-aware rule allows. Keys under which two
-different lines meet are found in one sorted pass; only lines on such keys go on. They
-are paired where their sign parities differ in at most 2 * THRESHOLD classes (an edit changes two at
-most, so no pair is lost), and what differs of the pairs is verified with a banded bit-parallel edit
-distance: one small bit vector of diagonals for each number of edits.
-
-Null texts are empty and stay null. Rows that share an id are versions of one document and
-keep equal lines at equal places. Null ids come last.
+place. Every line is filed under (class, n, segment number, segment) and probes, for each length
+in reach, the few substrings that the multi-match-aware rule allows. Keys under which two different lines meet are found
+in one sorted pass (Spark spills a key's rows); only lines on such keys go on.
+
+A line needs one earlier witness, so no pairs are made. Each line of a key is verified against the key's earliest lines
+first, which settles groups of near copies. What is left asks blocks of at most about `BLOCK_LINES` lines of its keys, and stops at the first
+witness in a block. Verification compares sign parities (an edit changes two at
+most) and then takes a banded bit-parallel edit distance: one small bit vector of diagonals for each number of edits.
+
+Null texts are empty and stay null. Rows that share an id and differ in text are versions of one document and
+keep equal lines at equal places; equal rows keep the same lines. Null ids come last; each different text without
+an id is a document of its own, in the order of a hash of the text.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,10 +35,27 @@ from labelloom.llm.common import stored
 from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import settle
 
-THRESHOLD = 2
-MIN_CHARS = 32
 LINE_NUMBERS = 2**31
-TASK_PAIRS = 2000
+BLOCK_LINES = 64
+ANY = 2**31 - 1
+
+
+@dataclass(frozen=True)
+class LineClass:
+    """Lines of `least` to `most` units (and at most `most_words` words) are near at `threshold` edits of units or fewer."""
+
+    unit: str
+    threshold: int
+    least: int
+    most: int = ANY
+    most_words: int = ANY
+
+    def __post_init__(self):
+        if self.unit not in ("signs", "words") or self.least <= self.threshold:
+            raise ValueError(f"{self}: units are signs or words, and a line has more of them than edits")
+
+
+CLASSES = (LineClass("signs", 1, 8, most=33), LineClass("signs", 2, 32), LineClass("words", 1, 12))
 
 
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -43,7 +64,9 @@ def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     parts = docs.select(
         F.col(f"`{key}`").cast("bigint").alias("doc"), F.xxhash64(col).alias("version"), F.posexplode(F.split(col, "\n")).alias("line_no", "line")
     ).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    order = F.coalesce("doc", F.lit(2**63 - 1)).cast("decimal(19,0)") * F.lit(LINE_NUMBERS).cast("decimal(10,0)")
+    # Texts without an id follow all ids, by their hash.
+    unnamed = F.lit(str(2**64)).cast("decimal(20,0)") + F.col("version").cast("decimal(20,0)")
+    order = F.coalesce(F.col("doc").cast("decimal(20,0)"), unnamed).cast("decimal(21,0)") * F.lit(LINE_NUMBERS).cast("decimal(10,0)")
     return parts.withColumn("place", (order + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)"))
 
 
@@ -67,20 +90,57 @@ def probes(threshold: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def meeting_keys(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(key, own, h) of `lines(h, line)`: the keys under which different lines meet, one of them filed there."""
-    n = F.length("line")
+def words_of(line: Column | str) -> Column:
+    return F.split(line, " ")
+
+
+def _first_words(line: Column, n: Column) -> Column:
+    """The first `n` words, or the last -`n`."""
+    return F.call_function("substring_index", line, F.lit(" "), n)
+
+
+def _words_between(line: Column, at: Column, size: Column) -> Column:
+    """`size` words from word `at` (from 1) on."""
+    return _first_words(_first_words(line, at + size - 1), -size)
+
+
+def probe_keys(lines: DataFrame, kind: int, c: LineClass) -> DataFrame:
+    """(h, key, own, kind): what the lines of a class are filed under (own) and look for."""
+    line = F.col("line")
+    words = F.octet_length("line") - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    sized = lines.select("h", "line", (F.length("line") if c.unit == "signs" else words).alias("n"))
+    inside = (F.col("n") >= c.least) & (F.col("n") <= c.most) & (words <= c.most_words if c.most_words < ANY else F.lit(True))
     options = []
-    for less, i, shift in probes(threshold):
-        start, size = _segment(n - less, i, threshold + 1)
-        part = F.substring("line", start + (shift + 1), size)
-        options.append(F.struct(F.xxhash64(n - less, F.lit(i), part).alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
-    filed = lines.select("h", F.explode(F.array(*options)).alias("x")).select("x.key", "x.own", "h")
+    for less, i, shift in probes(c.threshold):
+        m = F.col("n") - less
+        start, size = _segment(m, i, c.threshold + 1)
+        at = start + (shift + 1)
+        if c.least <= 2 * c.threshold:
+            # Of very short lines a segment can be empty, and a probe begin before the line.
+            at = F.greatest(at, F.lit(1))
+        if c.unit == "signs":
+            part = F.substring("line", at, size)
+        elif i == 0 and shift == 0 or i == c.threshold and shift == less:
+            # A segment at the start or the end of the line.
+            part = _first_words(line, size if i == 0 else -size)
+        else:
+            part = _words_between(line, at, size)
+        # Looked for below the class's bound, a key finds nothing.
+        key = F.xxhash64(F.lit(kind), m, F.lit(i), part)
+        options.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
+    found = sized.filter(inside).select("h", F.explode(F.array(*options)).alias("x"))
+    return found.select("h", "x.key", "x.own", F.lit(kind).cast("tinyint").alias("kind"))
+
+
+def meeting_keys(lines: DataFrame, classes: tuple[LineClass, ...] = CLASSES) -> DataFrame:
+    """(key, own, kind, h) of `lines(h, line)`: the keys under which different lines meet, one of them filed there."""
+    # A plan for each class, so that the code of none grows beyond what is compiled.
+    filed = reduce(DataFrame.unionByName, [probe_keys(lines, kind, c) for kind, c in enumerate(classes)])
     same = Window.partitionBy("key")
     met = filed.select(
-        "*", F.min("h").over(same).alias("_low"), F.max("h").over(same).alias("_high"), F.max("own").over(same).alias("_any")
+        "*", F.min("h").over(same).alias("low"), F.max("h").over(same).alias("high"), F.max("own").over(same).alias("any")
     )
-    return met.filter(F.col("_any") & (F.col("_low") < F.col("_high"))).select("key", "own", "h")
+    return met.filter(F.col("any") & (F.col("low") < F.col("high"))).select("key", "own", "kind", "h")
 
 
 def parity(line: Column) -> Column:
@@ -123,8 +183,13 @@ def differing_parts(a: Column, b: Column) -> Column:
     return _bound(F.struct(a.alias("a"), b.alias("b")), over)
 
 
-def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
-    """Edits between two texts, or null when there are more than `threshold`.
+def edit_distance(a: Column, b: Column, threshold: int) -> Column:
+    """Edits of code points between two texts, or null when there are more than `threshold`."""
+    return unit_edits(_signs(a), _signs(b), threshold)
+
+
+def unit_edits(a: Column, b: Column, threshold: int) -> Column:
+    """Edits between two arrays of units, or null when there are more than `threshold`.
 
     Bit d of vector e says that the first j signs of b and the first j + d - threshold of a
     are at most e edits apart. The vectors lie side by side in one number. A step of j keeps a diagonal
@@ -168,7 +233,7 @@ def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
 
         return _bound(last, fewest)
 
-    return _bound(F.struct(_signs(a).alias("a"), _signs(b).alias("b")), over)
+    return _bound(F.struct(a.alias("a"), b.alias("b")), over)
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -180,44 +245,72 @@ def _signs(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
-def near_lines(distinct: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(key): lines of `distinct(key, h, line, place)` that come after a line within the threshold."""
-    lines = distinct.filter(F.length("line") >= min_chars)
-    met = stored(meeting_keys(lines.select("h", "line"), threshold), "line-keys")
+def _sign_edits(a: Column, b: Column, threshold: int) -> Column:
+    return _bound(differing_parts(a, b), lambda x: edit_distance(x["a"], x["b"], threshold))
+
+
+def are_near(a: Column, b: Column, kind: Column, classes: tuple[LineClass, ...]) -> Column:
+    """Whether two lines (structs with line and signs) of a class are near."""
+    out = F.lit(False)
+    for number, c in enumerate(classes):
+        if c.unit == "signs":
+            close = (F.abs(F.length(a["line"]) - F.length(b["line"])) <= c.threshold) & (
+                F.bit_count(a["signs"].bitwiseXOR(b["signs"])) <= 2 * c.threshold
+            )
+            edits = _sign_edits(a["line"], b["line"], c.threshold)
+        else:
+            close = F.abs(F.size(words_of(a["line"])) - F.size(words_of(b["line"]))) <= c.threshold
+            edits = unit_edits(words_of(a["line"]), words_of(b["line"]), c.threshold)
+        # The distance is taken only where the cheap bounds allow it.
+        out = F.when(kind == number, F.when(close, edits.isNotNull()).otherwise(False)).otherwise(out)
+    return out
+
+
+def near_lines(distinct: DataFrame, classes: tuple[LineClass, ...] = CLASSES) -> DataFrame:
+    """(key): lines of `distinct(key, h, line, place)` that come after a line near them."""
+    met = stored(meeting_keys(distinct.select("h", "line"), classes).withColumnRenamed("key", "at"), "line-keys")
     held = settle(met.select("h").distinct(), "line-held")
-    texts = stored(
-        lookup_join(lines, held, ["h"], ["h"], how="left_semi").select("h", "key", "place", "line", F.length("line").alias("n"), parity(F.col("line")).alias("signs")),
-        "line-texts",
+    texts = lookup_join(distinct, held, ["h"], ["h"], how="left_semi").select("h", "key", "place", "line", parity(F.col("line")).alias("signs"))
+    one = F.struct("place", "own", "h", "line", "signs")
+    entries = stored(met.join(stored(texts, "line-texts"), "h").select("at", "kind", "key", one.alias("me")), "line-entries")
+    # Of each key the earliest line that is filed there, and the earliest of all that look there.
+    earliest = entries.groupBy("at").agg(
+        F.min_by(F.when(F.col("me.own"), F.col("me")), F.when(F.col("me.own"), F.col("me.place"))).alias("filed"),
+        F.min_by("me", "me.place").alias("first"),
+        F.count(F.lit(1)).alias("n"),
     )
-    facts = texts.select("h", "n", "signs").distinct()
-    keyed = met.withColumnRenamed("key", "at").join(facts, "h")
-    own, other = keyed.filter("own").alias("a"), keyed.alias("b")
-    close = (
-        (F.col("a.h") != F.col("b.h"))
-        & (F.abs(F.col("a.n") - F.col("b.n")) <= threshold)
-        & (F.bit_count(F.col("a.signs").bitwiseXOR(F.col("b.signs"))) <= 2 * threshold)
-    )
-    pairs = own.join(other, (F.col("a.at") == F.col("b.at")) & close).select(
-        F.least("a.h", "b.h").alias("h"), F.greatest("a.h", "b.h").alias("h2")
-    ).distinct()
-    left = texts.select("h", F.col("line").alias("line1"), F.col("place").alias("place1"), F.col("key").alias("key1"))
-    right = texts.select(F.col("h").alias("h2"), F.col("line").alias("line2"), F.col("place").alias("place2"), F.col("key").alias("key2"))
-    met_pairs = settle(pairs, "line-pairs")
-    both = met_pairs.df.join(left, "h").join(right, "h2")
-    # Few bytes but much work: as many tasks as the pairs need, not as their size suggests.
-    both = both.repartition(max(1, math.ceil(met_pairs.rows / TASK_PAIRS)), "h", "h2")
-    edits = _bound(differing_parts(F.col("line1"), F.col("line2")), lambda x: edit_distance(x["a"], x["b"], threshold))
-    linked = both.filter(edits.isNotNull())
-    later = F.when(F.col("place1") > F.col("place2"), F.col("key1")).when(F.col("place1") < F.col("place2"), F.col("key2"))
-    return linked.select(later.alias("key")).filter("key IS NOT NULL").distinct()
-
-
-def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+
+    def witness(me: Column, other: Column) -> Column:
+        """Whether `other` comes before `me`, meets it (one of the two is filed there), and is near."""
+        meets = (other["place"] < me["place"]) & (other["h"] != me["h"]) & (other["own"] | me["own"])
+        return F.when(meets, are_near(me, other, F.col("kind"), classes)).otherwise(False)
+
+    me = F.col("me")
+    # Few bytes but much work: many tasks, whatever the size suggests.
+    asked = lookup_join(entries, settle(earliest, "line-earliest"), ["at"], ["key"]).repartition("at", "key")
+    both = F.when(F.col("filed.h") == F.col("first.h"), F.array("filed")).otherwise(F.array("filed", "first"))
+    told = stored(asked.withColumn("near", F.exists(both, lambda x: witness(me, x))).drop("filed", "first"), "line-told")
+    done = settle(told.filter("near").select("key").distinct(), "line-done")
+    left = lookup_join(told.filter("NOT near AND n > 2").drop("near"), done, ["key"], ["key"], how="left_anti")
+    seekers = settle(left, "line-seekers")
+    if not seekers.rows:
+        return done.df
+    blocks = F.ceil(F.col("n") / BLOCK_LINES).cast("int")
+    open_keys = settle(seekers.df.select("at", "n").distinct(), "line-open")
+    members = lookup_join(entries, open_keys, ["at"], ["key"], how="inner").withColumn("block", F.pmod(F.xxhash64("me.h"), blocks).cast("int"))
+    listed = members.groupBy("at", "block").agg(F.collect_list("me").alias("others"))
+    spread = seekers.df.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).repartition("at", "block", "key")
+    met_blocks = lookup_join(spread, settle(listed, "line-blocks"), ["at", "block"], ["key"], how="inner")
+    found = met_blocks.filter(F.exists("others", lambda x: witness(me, x))).select("key")
+    return done.df.unionByName(found).distinct()
+
+
+def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", classes: tuple[LineClass, ...] = CLASSES) -> DataFrame:
     """(row, text, n_lines, n_equal, n_near): each row of `docs` as it was, its new text, and its visible lines and losses."""
     seen = document_lines(docs, key, text)
     counted = seen.groupBy("line").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.select(line_key("line").alias("key"), F.xxhash64("line").alias("h"), "line", "place", "n"), "lines")
-    near = stored(near_lines(distinct, threshold, min_chars), "line-near").withColumn("near", F.lit(True))
+    near = stored(near_lines(distinct, classes), "line-near").withColumn("near", F.lit(True))
     repeated = distinct.select("key", "place", "n").join(near, "key", "left").withColumn("near", F.coalesce("near", F.lit(False)))
     gone = settle(repeated.filter("near OR n > 1").select("key", F.col("place").alias("first"), "near"), "line-gone")
     places = seen.select("doc", "version", "line_no", "place", line_key("line").alias("key"))
