@@ -28,7 +28,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates the large-star and small-star steps, each a map-side combined
     minimum and one join. Every round is written to the shared folder, so a lost
     executor repeats one round at most. No list of neighbours is ever gathered.
-    Self-loops, repeated and reversed edges are allowed.
+    Self-loops, repeated and reversed edges are allowed. Rounds grow with the logarithm of the longest path; beyond
+    `max_rounds` of them it raises instead of giving an unfinished result.
     """
     spark = edges.sparkSession
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

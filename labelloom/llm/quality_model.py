@@ -12,7 +12,8 @@ Features are counted from the text alone. The model is fitted on at most
 every row, in place, without a shuffle.
 
 Null texts score as empty ones. Rows with a null label, or a label that is neither 0 nor 1,
-are not learned from; with labels of one kind only, the score is that kind's share.
+are not learned from; with labels of one kind only, the score is that kind's share. Repeated rows are scored alike; scores are joined
+to nothing, and rows keep all their columns, whatever their names.
 """
 
 from __future__ import annotations

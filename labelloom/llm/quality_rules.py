@@ -10,7 +10,8 @@ A rule may miss most bad documents, but it is held to be better than chance: its
 accuracies sum to more than one, so no vote counts for the opposite side. The share of good
 documents is held at one half or more, so a document for which all rules vote good is kept.
 
-Null texts have no words; they and empty texts fail the length limit and are not kept.
+Null texts have no words; they and empty texts fail the length limit and are not kept. Repeated rows vote once each, and
+equal texts get equal verdicts; columns besides key and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

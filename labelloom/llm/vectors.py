@@ -15,7 +15,8 @@ Equal vectors of a label are one node. Large groups are cut into blocks, and vis
 each block, so a task holds one block of vectors and streams the visitors past it.
 
 Vectors that are null, zero, or hold a null or non-finite component, and rows without a
-label, link with nothing: no links, their own component. Repeated rows are copies.
+label, link with nothing: no links, their own component. Repeated rows are copies. Vectors of different widths
+never link; each width has an index of its own. Columns besides the three that are named are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,9 @@ def distances(x: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def along(words: np.ndarray) -> np.ndarray:
     """Codewords in their order along the axis on which they differ most, so that near ones are often side by side."""
+    if not words.shape[1]:
+        # The second half of a vector of one component.
+        return words
     axis = np.linalg.svd(words - words.mean(0), full_matrices=False)[2][0]
     return words[np.argsort(words @ axis, kind="stable")]
 
@@ -263,7 +268,13 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
         ),
         "vector-nodes",
     )
-    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels")).first()
+    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels"), F.collect_set(F.size("vector")).alias("widths")).first()
+    if len(size["widths"]) > 1:
+        # Few kinds of vectors share a table; each is searched by itself, and what is none of them links with nothing.
+        width = F.coalesce(F.size(v), F.lit(-1))
+        parts = [near_vectors(table.filter(width == w), key, vector, label) for w in sorted(size["widths"])]
+        rest = near_vectors(table.filter(~width.isin(size["widths"])), key, vector, label)
+        return reduce(DataFrame.unionByName, parts, rest)
     grid = fit_grid(nodes, size["n"], size["labels"])
     rows = named.select("vec_id", "node")
     if grid is None:
