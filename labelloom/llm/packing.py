@@ -43,7 +43,7 @@ from labelloom.plans.shared import settle
 SEQUENCE = 1024
 QUANTUM = 128
 END_ID = 0
-SLICE_BYTES = 500_000
+SLICE_BYTES = 400_000
 # Numbers held at once while rounds are looked up.
 TABLE_CELLS = 500_000
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -45,7 +45,7 @@ def _ranks(spec: dict) -> dict[bytes, int] | None:
     return {bytes(byte[c] for c in token): i for token, i in vocab.items() if token not in added}
 
 
-MEMO_BYTES = 64 * 1024 * 1024
+MEMO_BYTES = 24 * 1024 * 1024
 # About what an entry of the memo takes besides its bytes.
 ENTRY_BYTES = 170
 # Longer texts are encoded by themselves, without tables of their bytes.
@@ -107,7 +107,7 @@ def equal_units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     """Of each different unit its first place among `starts`, and which of these each unit is."""
     size = len(data)
     ends = np.r_[starts[1:], size]
-    up, down = _powers(1 << max(size, 1 << 19).bit_length())
+    up, down = _powers(1 << max(size, 1 << 18).bit_length())
     sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:size])]
     _, first, which = np.unique((sums[ends] - sums[starts]) * down[starts], return_index=True, return_inverse=True)
     # Units of one hash are compared with its first one; should any differ, each unit stands for itself.
@@ -123,11 +123,7 @@ class ByteTokenizer:
     """
 
     def __init__(self, path: str, plain: bool = False):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = plain
+        self.path, self.plain = path, plain
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         strings = [t["content"] for t in spec["added_tokens"] if t["content"]]
@@ -144,6 +140,16 @@ class ByteTokenizer:
             self.line_feed = ranks[b"\n"]
             self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """The file as its own library reads it, for what the ranks do not cover."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.encode_special_tokens = self.plain
+        return made
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or (self.added and self.added.search(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -198,11 +204,17 @@ class ByteTokenizer:
     def token_bytes(self) -> list[bytes]:
         """Bytes of each id of a byte-level file; of signs outside its alphabet, their UTF-8."""
         byte = byte_alphabet()
-        out = [b""] * self.tokenizer.get_vocab_size()
-        for token, i in self.tokenizer.get_vocab().items():
+        out = [b""] * (max(self.vocabulary.values()) + 1)
+        for token, i in self.vocabulary.items():
             out[i] = b"".join(bytes([byte[c]]) if c in byte else c.encode() for c in token)
         return out
 
+    @property
+    def vocabulary(self) -> dict[str, int]:
+        with open(self.path, encoding="utf-8") as f:
+            spec = json.load(f)
+        return spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+
 
 class PieceTokenizer:
     """Ids of whole texts by a piece model, which puts a space before the text."""
