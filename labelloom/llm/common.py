@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.plans.shared import fresh_path
+from labelloom.plans.shared import fresh_path, shuffles_dropped
 
 # One ASCII blank or one of tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -14,7 +14,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` to the shared folder and return the written table."""
     path = fresh_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -37,7 +37,10 @@ from labelloom.plans.shared import settle
 
 LINE_NUMBERS = 2**31
 BLOCK_LINES = 64
+BLANKS = " \t\n\x0b\x0c\r"
 ANY = 2**31 - 1
+# The last bits of a key tell its class.
+KINDS = 8
 
 
 @dataclass(frozen=True)
@@ -58,12 +61,17 @@ class LineClass:
 CLASSES = (LineClass("signs", 1, 8, most=33), LineClass("signs", 2, 32), LineClass("words", 1, 12))
 
 
+def is_visible(line: Column) -> Column:
+    """Whether a line has a sign that is no blank; it is read up to there only."""
+    return F.ltrim(line, F.lit(BLANKS)) != ""
+
+
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, version, line_no, place, line): visible lines with their place in the order of the corpus."""
     col = F.col(f"`{text}`")
     parts = docs.select(
         F.col(f"`{key}`").cast("bigint").alias("doc"), F.xxhash64(col).alias("version"), F.posexplode(F.split(col, "\n")).alias("line_no", "line")
-    ).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    ).filter(is_visible(F.col("line")))
     # Texts without an id follow all ids, by their hash.
     unnamed = F.lit(str(2**64)).cast("decimal(20,0)") + F.col("version").cast("decimal(20,0)")
     order = F.coalesce(F.col("doc").cast("decimal(20,0)"), unnamed).cast("decimal(21,0)") * F.lit(LINE_NUMBERS).cast("decimal(10,0)")
@@ -74,6 +82,11 @@ def line_key(line: Column | str) -> Column:
     return F.unhex(F.md5(F.col(line) if isinstance(line, str) else line))
 
 
+def line_hash(line: Column | str) -> Column:
+    """A line's hash, which leaves one bit of a number free."""
+    return F.shiftright(F.xxhash64(line), 1)
+
+
 def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
     """Start (from 0) and size of segment i of a line of length n."""
     sizes = [F.floor((n + j) / parts).cast("int") for j in range(i + 1)]
@@ -105,7 +118,10 @@ def _words_between(line: Column, at: Column, size: Column) -> Column:
 
 
 def probe_keys(lines: DataFrame, kind: int, c: LineClass) -> DataFrame:
-    """(h, key, own, kind): what the lines of a class are filed under (own) and look for."""
+    """(key, line): what the lines of a class are filed under and look for; `line` is 2 h + 1 where filed, else 2 h.
+
+    A row of two numbers, since there are many for each line and all are shuffled.
+    """
     line = F.col("line")
     words = F.octet_length("line") - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     sized = lines.select("h", "line", (F.length("line") if c.unit == "signs" else words).alias("n"))
@@ -126,21 +142,26 @@ def probe_keys(lines: DataFrame, kind: int, c: LineClass) -> DataFrame:
         else:
             part = _words_between(line, at, size)
         # Looked for below the class's bound, a key finds nothing.
-        key = F.xxhash64(F.lit(kind), m, F.lit(i), part)
-        options.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
-    found = sized.filter(inside).select("h", F.explode(F.array(*options)).alias("x"))
-    return found.select("h", "x.key", "x.own", F.lit(kind).cast("tinyint").alias("kind"))
+        key = F.xxhash64(F.lit(kind), m, F.lit(i), part).bitwiseAND(F.lit(-KINDS).cast("bigint")).bitwiseOR(F.lit(kind).cast("bigint"))
+        filed = F.lit(int(less == 0 and shift == 0)).cast("bigint")
+        options.append(F.struct(key.alias("key"), F.shiftleft("h", 1).bitwiseOR(filed).alias("line")))
+    return sized.filter(inside).select(F.inline(F.array(*options)))
 
 
 def meeting_keys(lines: DataFrame, classes: tuple[LineClass, ...] = CLASSES) -> DataFrame:
-    """(key, own, kind, h) of `lines(h, line)`: the keys under which different lines meet, one of them filed there."""
+    """(key, own, kind, h) of `lines(h, line)`: the keys under which different lines meet, one of them filed there.
+
+    `h` is a `line_hash`.
+    """
+    if len(classes) > KINDS:
+        raise ValueError(f"{len(classes)} classes; at most {KINDS} are possible")
     # A plan for each class, so that the code of none grows beyond what is compiled.
     filed = reduce(DataFrame.unionByName, [probe_keys(lines, kind, c) for kind, c in enumerate(classes)])
     same = Window.partitionBy("key")
-    met = filed.select(
-        "*", F.min("h").over(same).alias("low"), F.max("h").over(same).alias("high"), F.max("own").over(same).alias("any")
-    )
-    return met.filter(F.col("any") & (F.col("low") < F.col("high"))).select("key", "own", "kind", "h")
+    own, h = F.col("line").bitwiseAND(F.lit(1).cast("bigint")) == 1, F.shiftright("line", 1)
+    met = filed.select("*", F.min("line").over(same).alias("low"), F.max("line").over(same).alias("high"), F.max(own).over(same).alias("any"))
+    kind = F.col("key").bitwiseAND(F.lit(KINDS - 1).cast("bigint")).cast("tinyint").alias("kind")
+    return met.filter(F.col("any") & (F.shiftright("low", 1) < F.shiftright("high", 1))).select("key", own.alias("own"), kind, h.alias("h"))
 
 
 def parity(line: Column) -> Column:
@@ -309,7 +330,7 @@ def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", classe
     """(row, text, n_lines, n_equal, n_near): each row of `docs` as it was, its new text, and its visible lines and losses."""
     seen = document_lines(docs, key, text)
     counted = seen.groupBy("line").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
-    distinct = stored(counted.select(line_key("line").alias("key"), F.xxhash64("line").alias("h"), "line", "place", "n"), "lines")
+    distinct = stored(counted.select(line_key("line").alias("key"), line_hash("line").alias("h"), "line", "place", "n"), "lines")
     near = stored(near_lines(distinct, classes), "line-near").withColumn("near", F.lit(True))
     repeated = distinct.select("key", "place", "n").join(near, "key", "left").withColumn("near", F.coalesce("near", F.lit(False)))
     gone = settle(repeated.filter("near OR n > 1").select("key", F.col("place").alias("first"), "near"), "line-gone")
@@ -331,7 +352,7 @@ def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", classe
     joined = lookup_join(keyed, listed, ["doc", "version"], ["doc", "version"], null_safe=True).withColumn("_lines", F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_out"))
     rebuilt = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    visible = F.coalesce(F.size(F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0))
+    visible = F.coalesce(F.size(F.filter("_lines", is_visible)), F.lit(0))
     return joined.select(
         "row",
         F.when(F.col("_out").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),

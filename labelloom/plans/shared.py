@@ -1,13 +1,16 @@
 """Shared-folder storage for intermediate tables.
 
 Intermediates are written once to the folder the cluster names in
-`spark.checkpoint.dir`, which cuts lineage and survives lost executors.
+`spark.checkpoint.dir`, which cuts lineage and survives lost executors. A table that is
+written no longer needs the shuffle files that it was made from: they go at once.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @dataclass(frozen=True)
 class Settled:
     """A written table with its measured size."""
@@ -41,15 +47,31 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """A write within it deletes its shuffle files when it ends, not when the driver happens to collect garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def settle(df: DataFrame, purpose: str = "table") -> Settled:
     """Write `df` once, measuring it on the way, and return the written table."""
     path = fresh_path(df.sparkSession, purpose)
     seen = Observation()
-    df.observe(
+    measured = df.observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("bigint").alias("b"),
-    ).write.parquet(path)
+    )
+    with shuffles_dropped(df.sparkSession):
+        measured.write.parquet(path)
     size = seen.get
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return Settled(stored, int(size["n"]), int(size["b"]))
