@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from labelloom.functions import fixed_values as V
 from labelloom.plans.joins import lookup_join
 from labelloom.plans.ledger import AT_ONCE, Ask, Ledger, record_calls
-from labelloom.plans.shared import settle
+from labelloom.plans.shared import Settled, settle
 
 OUTCOME = ["status", "error_code", "message", "translated"]
 
@@ -178,7 +178,7 @@ def attempt_in_rounds(
     queue = settle(rows.filter(_foreign()).select(item.alias("item_id"), "text", "target_language"), "queue")
     log: list[DataFrame] = []
     for attempt in range(attempts):
-        asked = queue.df.withColumn("call", F.concat_ws("#", "item_id", F.lit(attempt)))
+        asked = Settled(queue.df.withColumn("call", F.concat_ws("#", "item_id", F.lit(attempt))), queue.rows, queue.nbytes)
         answers = record_calls(asked, "call", ["text", "target_language"], answer, asker(attempt), ledger, at_once)
         named = answers.withColumn("item_id", F.regexp_extract("call", r"(?s)^(.*)#\d+$", 1)).withColumn("attempt", F.lit(attempt).cast("bigint"))
         tried = settle(named.select("item_id", "attempt", *answer.names), "attempts")

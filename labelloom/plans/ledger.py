@@ -10,6 +10,9 @@ One attempt works on a slice at a time: it leaves a claim, and another attempt w
 answered, or until the claimant has written nothing for `lease` seconds. The claim of an earlier attempt of the same task
 is void at once when Spark does not run attempts side by side.
 
+A task holds the answers of one slice at a time, so slices and tasks follow the number and the bytes of the requests: a ledger that is
+opened without their number is dealt when it is first used.
+
 The ledger's answers are Parquet files, which `answers` reads as a table.
 """
 
@@ -20,7 +23,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
@@ -29,11 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.plans.shared import fresh_path
+from labelloom.plans.shared import Settled, fresh_path, measure
 
 AT_ONCE = 16
 LEASE_SECONDS = 300.0
 SLICE_ROWS = 1000
+SLICE_BYTES = 4 * 1024 * 1024
+TASK_BYTES = 64 * 1024 * 1024
 POLL_SECONDS = 0.2
 
 Ask = Callable[[list[tuple]], list[tuple]]
@@ -46,27 +51,34 @@ def storage(path: str) -> tuple[pafs.FileSystem, str]:
 
 @dataclass(frozen=True)
 class Ledger:
-    """A folder of answers, dealt into a fixed number of slices."""
+    """A folder of answers, dealt into a fixed number of slices; 0 slices: dealt by the first run that uses it."""
 
     path: str
     slices: int
 
     @staticmethod
-    def open(path: str, requests: int = 0, tasks: int = 1) -> Ledger:
-        """The ledger at `path`; a new one has slices for about so many requests."""
+    def open(path: str, requests: int = 0, tasks: int = 0, nbytes: int = 0) -> Ledger:
+        """The ledger at `path`; a new one has slices for about so many requests of so many bytes."""
         files, at = storage(path)
         mark = f"{at}/slices"
+        if not (requests or tasks or nbytes) and files.get_file_info(mark).type == pafs.FileType.NotFound:
+            return Ledger(path, 0)
         if files.get_file_info(mark).type == pafs.FileType.NotFound:
             files.create_dir(at, recursive=True)
             with files.open_output_stream(mark) as out:
-                out.write(str(max(tasks, -(-requests // SLICE_ROWS), 1)).encode())
+                out.write(str(max(tasks, -(-requests // SLICE_ROWS), -(-nbytes // SLICE_BYTES), 1)).encode())
         with files.open_input_stream(mark) as f:
             return Ledger(path, int(f.read().decode()))
 
     @staticmethod
     def fresh(spark: SparkSession, requests: int = 0) -> Ledger:
         """A new ledger of this application, in the shared folder."""
-        return Ledger.open(fresh_path(spark, "ledger"), requests, spark.sparkContext.defaultParallelism)
+        path = fresh_path(spark, "ledger")
+        return Ledger.open(path, requests, spark.sparkContext.defaultParallelism) if requests else Ledger(path, 0)
+
+    def dealt(self, requests: Settled, tasks: int) -> Ledger:
+        """The ledger with its number of slices, which a new one takes from its first requests."""
+        return self if self.slices else Ledger.open(self.path, requests.rows, tasks, requests.nbytes)
 
     def answers(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """Everything answered so far; `schema` has the key and the answer's fields."""
@@ -157,7 +169,7 @@ class Slice:
 
 
 def record_calls(
-    requests: DataFrame,
+    requests: DataFrame | Settled,
     key: str,
     ask: list[str],
     answer: T.StructType,
@@ -172,54 +184,47 @@ def record_calls(
     `open_client()` runs once per task that has to ask, and returns a function from a list of tuples (the `ask` columns) to
     as many tuples (the answer's fields). If it fails half-way through, the task fails; give such answers
     a field for errors instead. Rows with one key share an answer. The result may be computed again: it reads the
-    ledger then.
+    ledger then. `tasks` defaults to the cluster's parallelism, or a task for every `TASK_BYTES` of requests if that is more.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    sized = requests if isinstance(requests, Settled) else measure(requests.select(*[F.col(f"`{c}`") for c in dict.fromkeys([key, *ask])]))
+    requests = sized.df
     spark = requests.sparkSession
+    many = tasks or max(spark.sparkContext.defaultParallelism, -(-sized.nbytes // TASK_BYTES))
+    ledger = ledger.dealt(sized, many)
     schema = T.StructType([requests.schema[key], *answer.fields])
     arrow = to_arrow_schema(schema)
     side_by_side = runs_side_by_side(spark)
-    names = schema.names
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client: list = []
         of, number = None, None
         try:
             for batch in batches:
-                rows = list(zip(*(_plain(batch[c]) for c in ["_slice", key, *ask])))
-                out: list[tuple] = []
-                at = 0
-                while at < len(rows):
-                    end = at
-                    while end < len(rows) and rows[end][0] == rows[at][0]:
-                        end += 1
-                    if rows[at][0] != number:
+                numbers = batch.column("_slice").to_numpy()
+                starts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]]).tolist() if len(numbers) else []
+                # Only the rows of one slice are turned into Python values at a time.
+                for at, end in zip(starts, [*starts[1:], len(numbers)]):
+                    if numbers[at] != number:
                         if of:
                             of.leave()
-                        number = rows[at][0]
+                        number = int(numbers[at])
                         of = Slice(ledger, number, arrow, lease, side_by_side)
-                    mine = [r[1:] for r in rows[at:end]]
+                    mine = list(zip(*(batch.column(c).slice(at, end - at).to_pylist() for c in [key, *ask])))
                     if of.take({r[0] for r in mine}):
                         of.ask(mine, open_client, client, at_once)
-                    out += [(r[0], *of.known[r[0]]) for r in mine]
-                    at = end
-                yield pd.DataFrame(out, columns=names, dtype=object)
+                    rows = [(r[0], *of.known[r[0]]) for r in mine]
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
         finally:
             if of:
                 of.leave()
 
     spread = F.pmod(F.xxhash64(key), F.lit(ledger.slices))
     dealt = requests.select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in ask if c != key]).withColumn("_slice", spread)
-    many = tasks or spark.sparkContext.defaultParallelism
-    return dealt.repartition(many, "_slice").sortWithinPartitions("_slice", key).mapInPandas(run, schema)
+    return dealt.repartition(many, "_slice").sortWithinPartitions("_slice", key).mapInArrow(run, schema)
 
 
 def runs_side_by_side(spark: SparkSession) -> bool:
     """Whether Spark may run two attempts of a task at once."""
     return (spark.conf.get("spark.speculation", None) or spark.sparkContext.getConf().get("spark.speculation", "false")).lower() == "true"
-
-
-def _plain(column: pd.Series) -> list:
-    """Values as Python has them; missing ones are None."""
-    return [None if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v) else v.item() if hasattr(v, "item") else v for v in column.tolist()]

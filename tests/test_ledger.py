@@ -239,3 +239,25 @@ def test_nothing_foreign_and_no_rows(spark):
     for rows in ([], [("1", "x", "en")]):
         made = R.attempt_in_rounds(spark.createDataFrame(rows, schema), fails, wait=fails)
         assert made.outcomes.count() == len(rows) and made.log.count() == 0
+
+
+def test_slices_and_tasks_follow_the_requests(spark, tmp_path, monkeypatch):
+    """A ledger opened without a number of requests is dealt by its first run, by their number or their bytes."""
+    monkeypatch.setattr(K, "SLICE_ROWS", 10)
+    monkeypatch.setattr(K, "TASK_BYTES", 600)
+    df = record_calls(requests(spark, 200), "key", ["text"], ANSWER, counting(str(tmp_path)), Ledger.open(str(tmp_path / "l")))
+    assert len(said(df)) == 200 and df.rdd.getNumPartitions() >= 12
+    assert Ledger.open(str(tmp_path / "l")).slices >= 20
+    monkeypatch.setattr(K, "SLICE_BYTES", 50)
+    wide = requests(spark, 50).withColumn("text", F.concat(F.lpad("text", 20, "0")))
+    record_calls(wide, "key", ["text"], ANSWER, counting(str(tmp_path)), Ledger.open(str(tmp_path / "w"))).count()
+    assert Ledger.open(str(tmp_path / "w")).slices >= 40
+
+
+def test_rounds_deal_their_ledger_by_the_queue(spark, monkeypatch):
+    monkeypatch.setattr(K, "SLICE_ROWS", 5)
+    rows = spark.range(200).selectExpr("cast(id AS string) AS row_key", "concat('text ', id) AS text", "'es' AS target_language")
+    ledger = Ledger.fresh(spark)
+    made = R.attempt_in_rounds(rows, lambda round_: lambda text, source, target: text, ledger=ledger)
+    assert made.outcomes.filter("translated = text").count() == 200
+    assert Ledger.open(ledger.path).slices >= 40
