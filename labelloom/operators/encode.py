@@ -18,6 +18,7 @@ from labelloom.plans.wordfiles import WordFiles, write_word_files
 UNKNOWN, PAD, FIRST_WORD_ID = 0, 1, 2
 # A beginning of so many signs a word nearly always holds the words wanted.
 CHARS_PER_WORD = 16
+PIECE_ROWS = 512
 
 
 def render_train(messages: Column, eos: str) -> Column:
@@ -91,16 +92,17 @@ def encode(
 
 def _look_up(texts: Column, known: WordFiles, limit: int) -> Column:
     """Ids of the first `limit` blank-separated words of each text; none for a null."""
-    unknown = UNKNOWN
+    unknown, rows = UNKNOWN, PIECE_ROWS
 
     @F.arrow_udf("array<int>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import pyarrow.compute as pc
 
-        for batch in batches:
-            lists = pc.list_slice(pc.split_pattern(batch, " ", max_splits=limit), 0, limit)
+        # Split words take several times the room of their text, so a batch is cut into pieces.
+        for piece in (batch.slice(at, rows) for batch in batches for at in range(0, max(len(batch), 1), rows)):
+            lists = pc.list_slice(pc.split_pattern(piece, " ", max_splits=limit), 0, limit)
             lengths = pc.fill_null(pc.list_value_length(lists), 0)
-            # A different word of a batch is looked up once.
+            # A different word of a piece is looked up once.
             coded = lists.flatten().dictionary_encode()
             tokens = pa.array(known.ids(coded.dictionary, unknown), pa.int32()).take(coded.indices)
             offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
