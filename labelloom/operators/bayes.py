@@ -22,11 +22,12 @@ from labelloom.plans.joins import lookup_join
 from labelloom.plans.shared import Settled, measure, settle
 
 SMOOTHING = 1.0
+WHOLE_TEXT = -1
 
 
 def features_of(text: Column, buckets: int | None = None) -> Column:
     """Lower-cased words of a text, or the buckets that a digest deals them to, with repeats; none for a null."""
-    words = F.filter(F.split(F.lower(text), V.NARROW_SPACE + "+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), V.NARROW_SPACE + "+"), "")
     if buckets:
         words = F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 12), 16, 10).cast("bigint") % buckets).cast("string"))
     return F.coalesce(words, F.array().cast("array<string>"))
@@ -57,7 +58,7 @@ class BayesTables:
 def fit_bayes(train: DataFrame, text_col: str, label_col: str, buckets: int | None = None, smoothing: float = SMOOTHING) -> BayesTables:
     """Fit on all rows with a label; label indices follow the sorted labels. `buckets` hashes words (default: a feature per word)."""
     rows = train.filter(F.col(f"`{label_col}`").isNotNull()).select(
-        F.col(f"`{label_col}`").cast("string").alias("label"), F.array_sort(features_of(F.col(f"`{text_col}`"), buckets)).alias("_words")
+        F.col(f"`{label_col}`").cast("string").alias("label"), F.sort_array(features_of(F.col(f"`{text_col}`"), buckets)).alias("_words")
     )
     # In sorted order a word that differs from the one before is the row's first.
     found = rows.select("label", "_words", F.posexplode("_words").alias("_at", "feature"))
@@ -99,8 +100,12 @@ def classify_by_table(model: BayesTables, df: DataFrame, text_col: str, key: str
     """
     words = df.select(F.col(f"`{key}`").alias("_key"), F.explode(features_of(F.col(f"`{text_col}`"), model.buckets)).alias("feature"))
     found = lookup_join(words, model.weights, ["feature"], ["_key"], how="inner")
-    masses = settle(found.groupBy("_key").agg(F.sum("rarity").alias("_mass")), "bayes-texts")
-    added = found.select("_key", "rarity", F.inline("seen")).groupBy("_key", "idx").agg(F.sum(F.col("rarity") * F.col("gain")).alias("_gain"))
+    # Words are looked up once: the sum of a text's rarities stands beside its additions, under no label.
+    whole = F.array(F.struct(F.lit(WHOLE_TEXT).cast(model.labels.df.schema["idx"].dataType).alias("idx"), F.lit(1.0).alias("gain")))
+    sums = found.select("_key", "rarity", F.inline(F.concat(whole, "seen"))).groupBy("_key", "idx").agg(F.sum(F.col("rarity") * F.col("gain")).alias("_gain"))
+    summed = settle(sums, "bayes-texts").df
+    masses = settle(summed.filter(F.col("idx") == WHOLE_TEXT).select("_key", F.col("_gain").alias("_mass")), "bayes-masses")
+    added = summed.filter(F.col("idx") != WHOLE_TEXT)
     facts = Settled(model.labels.df.select("idx", "prior", "rest"), model.labels.rows, model.labels.nbytes)
     scored = lookup_join(lookup_join(added, facts, ["idx"], ["_key"], how="inner"), masses, ["_key"], ["idx"], how="inner")
     score = F.col("prior") + F.col("_mass") * F.col("rest") + F.col("_gain")

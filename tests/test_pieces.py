@@ -1,6 +1,8 @@
 """Steps that work in pieces, look words up once and leave rows where they are."""
 
-from labelloom.operators import encode
+from pyspark.sql import functions as F
+
+from labelloom.operators import bayes, encode
 from labelloom.plans import joins
 
 
@@ -12,3 +14,9 @@ def test_words_are_encoded_in_pieces(spark, monkeypatch):
     got = {r.id: r.input_ids for r in encode.encode(rows, "text", words, max_seq_length=4, pad=False).collect()}
     known = {"a": 2, "b": 3}
     assert {i: [known.get(w, 0) for w in t.split(" ")][:4] for i, t in enumerate(texts) if t} == {i: got[i] for i, t in enumerate(texts) if t}
+
+
+def test_words_are_made_without_lambdas(spark):
+    df = spark.createDataFrame([(" A b\t a ",), (None,), ("",)], "t string").select(bayes.features_of(F.col("t")).alias("w"))
+    assert [r.w for r in df.collect()] == [["a", "b", "a"], [], []]
+    assert "lambda" not in df._jdf.queryExecution().toString()
