@@ -12,7 +12,6 @@ from labelloom.functions.hashing import pick, row_key
 from labelloom.operators import generate as G
 from labelloom.operators import translate as R
 from labelloom.plans.ledger import Ledger
-from labelloom.plans.shared import settle
 
 registry = Registry()
 
@@ -268,7 +267,7 @@ def memory(spark, sf_dir):
 
 
 def outcomes(spark, sf_dir):
-    return R.translate_from_memory(foreign_rows(spark, sf_dir), settle(memory(spark, sf_dir), "memory").df, "row_key")
+    return R.translate_from_memory(foreign_rows(spark, sf_dir), memory(spark, sf_dir), "row_key")
 
 
 @registry.add("enrich_translate", f"""WITH {MEMORY_SQL}

@@ -54,9 +54,11 @@ def translate_from_memory(rows: DataFrame, memory: DataFrame, row_key: str) -> D
         F.col("error_code").alias("_code"),
         F.col("message").alias("_message"),
     )
-    # Rows in the source language need no lookup: a null digest matches nothing.
-    keyed = rows.withColumn("_digest", F.when(_foreign(), F.sha2("text", 256)))
-    found = lookup_join(keyed, texts, ["_digest", "target_language"], [row_key])
+    # Rows in the source language need no lookup and stay where they are; those without a language match nothing.
+    foreign = F.coalesce(_foreign(), F.lit(True))
+    keyed = rows.filter(foreign).withColumn("_digest", F.when(_foreign(), F.sha2("text", 256)))
+    looked_up = lookup_join(keyed, settle(texts, "memory"), ["_digest", "target_language"], [row_key])
+    found = looked_up.unionByName(rows.filter(~foreign), allowMissingColumns=True)
     hit = F.col("_length") == F.length("text")
     status = (
         F.when(~_foreign(), "passed")

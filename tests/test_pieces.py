@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from labelloom.operators import bayes, encode
+from labelloom.operators import translate as R
 from labelloom.plans import joins
 
 
@@ -20,3 +21,15 @@ def test_words_are_made_without_lambdas(spark):
     df = spark.createDataFrame([(" A b\t a ",), (None,), ("",)], "t string").select(bayes.features_of(F.col("t")).alias("w"))
     assert [r.w for r in df.collect()] == [["a", "b", "a"], [], []]
     assert "lambda" not in df._jdf.queryExecution().toString()
+
+
+def test_rows_in_the_source_language_do_not_go_through_the_join(spark, monkeypatch, capsys):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    rows = spark.createDataFrame([("1", "x", "en"), ("2", "x", "es"), ("3", "y", "es"), ("4", "x", None)], "row_key string, text string, target_language string")
+    memory = spark.createDataFrame([("x", "es", "X", None, None), ("x", "en", "no", None, None)],
+                                   "source_text string, target_language string, translated string, error_code string, message string")
+    found = R.translate_from_memory(rows, memory, "row_key")
+    assert {r.row_key: (r.status, r.translated) for r in found.collect()} == {
+        "1": ("passed", None), "2": ("translated", "X"), "3": ("error", None), "4": ("error", None)}
+    found.explain()
+    assert "Union" in capsys.readouterr().out
