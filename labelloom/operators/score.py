@@ -26,6 +26,7 @@ from labelloom.plans.shared import fresh_path, settle
 
 FEATURES = 1 << 14
 TASK_BATCHES = 64
+PIECE_ROWS = 256
 
 
 def train_classifier(
@@ -72,21 +73,27 @@ def batch_predict(
     open_predictor: Callable[[], Callable[[list[str]], list[str]]],
     batch_size: int = V.SCORING_BATCH,
 ) -> DataFrame:
-    """Append `raw_output`: a predictor, opened once per partition, called on `batch_size` prompts at a time."""
+    """Append `raw_output`: a predictor, opened once per partition, called on `batch_size` prompts at a time.
+
+    Beside the Arrow batch that it reads, a task holds about `PIECE_ROWS` prompts and outputs at a time.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField("raw_output", T.StringType())])
 
-    def run(batches: Iterator) -> Iterator:
+    step = batch_size * max(1, PIECE_ROWS // batch_size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = None
         for batch in batches:
             predictor = predictor or open_predictor()
-            prompts = batch[prompt_col].tolist()
-            outputs = []
-            for at in range(0, len(prompts), batch_size):
-                outputs.extend(predictor(prompts[at : at + batch_size]))
-            batch["raw_output"] = outputs
-            yield batch
+            for start in range(0, batch.num_rows, step):
+                piece = batch.slice(start, step)
+                prompts = piece.column(prompt_col)
+                outputs = []
+                for at in range(0, piece.num_rows, batch_size):
+                    outputs.extend(predictor(prompts.slice(at, batch_size).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(outputs, pa.string())], [*piece.schema.names, "raw_output"])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def assign_batches(df: DataFrame, key: str, batch_size: int = V.SCORING_BATCH, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -118,7 +125,7 @@ def predict_in_batches(
     """
     spark = df.sparkSession
     runs = rank_parts(df, key, batch_size * task_batches, SALT, seed)
-    kept = ledger or Ledger.open(fresh_path(spark, "ledger"), 0, max(1, runs.count))
+    kept = ledger if ledger and ledger.slices else Ledger.open(ledger.path if ledger else fresh_path(spark, "ledger"), 0, max(1, runs.count))
     side_by_side = runs_side_by_side(spark)
     placed = runs.place(df, "_run")
     schema = T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("raw_output", T.StringType())])

@@ -1,12 +1,38 @@
 """Steps that work in pieces, look words up once and leave rows where they are."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from labelloom.operators import bayes, encode
+from labelloom.operators import bayes, encode, score
 from labelloom.operators import translate as R
 from labelloom.plans import joins
 
 
+def test_predictions_come_in_pieces():
+    class Captured:
+        schema = T.StructType([T.StructField("p", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    sizes = []
+
+    def open_predictor():
+        def predict(prompts):
+            sizes.append(len(prompts))
+            return [None if p is None else p + "!" for p in prompts]
+
+        return predict
+
+    texts = [None if i % 7 == 0 else str(i) for i in range(1003)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["p"])
+    out = list(score.batch_predict(Captured(), "p", open_predictor, 10)(iter([batch, batch.slice(0, 0)])))
+    assert max(b.num_rows for b in out) <= score.PIECE_ROWS
+    assert sizes == [10] * 100 + [3]
+    assert [x for b in out for x in b.column("raw_output").to_pylist()] == [None if t is None else t + "!" for t in texts]
+
+
 def test_words_are_encoded_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(encode, "PIECE_ROWS", 3)
     words = spark.createDataFrame([("a", 2), ("b", 3)], "word string, token_id int")
