@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from labelloom.functions import fixed_values as V
 from labelloom.plans.joins import lookup_join
-from labelloom.plans.ledger import AT_ONCE, Ask, Ledger, record_calls
-from labelloom.plans.shared import Settled, settle
+from labelloom.plans.ledger import AT_ONCE, Ask, Ledger, settle_calls, tasks_for, with_answers
+from labelloom.plans.shared import Settled, measure, settle
 
 OUTCOME = ["status", "error_code", "message", "translated"]
 
@@ -152,6 +152,9 @@ def attempt_in_rounds(
     goes to the next round's queue, and the job waits 2 s, then 4 s, once for all of them; other rows
     wait for none. Attempts are kept in `ledger` (default: a new one) under the row's `key` and the round, so neither a task
     that is tried again nor a run over the same ledger repeats one (a killed process can lose the `at_once` that it is at). `key` is unique; rows in the source language pass.
+
+    Texts are not written again: `rows` is read for every round (large ones several times), so settle it first where it is dear to make, and
+    translations are read from the ledger when `outcomes` or `log` are, if they are asked for.
     """
     import time
 
@@ -177,25 +180,31 @@ def attempt_in_rounds(
         return open_
 
     item = F.col(f"`{key}`").cast("string")
-    queue = settle(rows.filter(_foreign()).select(item.alias("item_id"), "text", "target_language"), "queue")
+    foreign = rows.filter(_foreign()).select(item.alias("item_id"), "text", "target_language")
+    queue = measure(foreign)
+    tasks = tasks_for(spark, queue.nbytes)
+    ledger = ledger.dealt(queue, tasks)
     log: list[DataFrame] = []
     for attempt in range(attempts):
         asked = Settled(queue.df.withColumn("call", F.concat_ws("#", "item_id", F.lit(attempt))), queue.rows, queue.nbytes)
-        answers = record_calls(asked, "call", ["text", "target_language"], answer, asker(attempt), ledger, at_once)
-        named = answers.withColumn("item_id", F.regexp_extract("call", r"(?s)^(.*)#\d+$", 1)).withColumn("attempt", F.lit(attempt).cast("bigint"))
-        tried = settle(named.select("item_id", "attempt", *answer.names), "attempts")
-        log.append(tried.df)
-        throttled = settle(tried.df.filter(F.col("error_code") == V.THROTTLED).select("item_id"), "throttled")
+        answers = settle_calls(asked, "call", ["text", "target_language"], answer, asker(attempt), ledger, answer.names[:3], at_once).df
+        tried = answers.withColumn("item_id", F.regexp_extract("call", r"(?s)^(.*)#\d+$", 1)).withColumn("attempt", F.lit(attempt).cast("bigint"))
+        log.append(tried)
+        throttled = settle(tried.filter(F.col("error_code") == V.THROTTLED).select("item_id"), "throttled")
         if not throttled.rows or attempt == attempts - 1:
             break
-        queue = settle(lookup_join(queue.df, throttled, ["item_id"], ["item_id"], how="left_semi"), "queue")
+        queue = measure(lookup_join(foreign, throttled, ["item_id"], ["item_id"], how="left_semi"))
         pause(V.FIRST_RETRY_WAIT_SECONDS * 2**attempt)
     entries = reduce(DataFrame.unionByName, log)
-    texts = entries.filter(F.col("status") == "success").select("item_id", "translated")
-    known = retry_outcome(entries, attempts).join(texts, "item_id", "left").select(F.col("item_id").alias("_item"), *OUTCOME)
+    calls = entries.filter(F.col("status") == "success").select("item_id", F.col("call").alias("_call"))
+    known = retry_outcome(entries, attempts).join(calls, "item_id", "left").select(F.col("item_id").alias("_item"), *OUTCOME[:3], "_call")
     joined = lookup_join(rows.withColumn("_item", item), settle(known, "outcomes"), ["_item"], [key])
+    outcomes = with_answers(joined, "_call", "call", answer["translated"], ledger, tasks, key)
     passed = F.when(_foreign(), F.col("status")).otherwise("passed").alias("status")
-    return Attempted(joined.select(*[F.col(f"`{c}`") for c in rows.columns], passed, *OUTCOME[1:]), entries)
+    return Attempted(
+        outcomes.select(*[F.col(f"`{c}`") for c in rows.columns], passed, *OUTCOME[1:]),
+        with_answers(entries, "call", "call", answer["translated"], ledger, tasks, "item_id").select("item_id", "attempt", *answer.names),
+    )
 
 
 def translate_in_rounds(open_client: Callable[[int], Callable[[str, str, str], str]], **options) -> Callable[[DataFrame], DataFrame]:
